@@ -6,7 +6,7 @@ one row per calendar day, which bounds each window partition by the length of th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tillcast.constants import (
@@ -15,7 +15,11 @@ from tillcast.constants import (
 from tillcast.operators.daily import densify
 
 TARGET = "target_revenue_next_30d"
-BY_DAY = Window.partitionBy("series").orderBy("date")
+
+
+def by_day() -> WindowSpec:
+    """The one window all features share."""
+    return Window.partitionBy("series").orderBy("date")
 
 
 def feature_names(horizon: int = HORIZON_DAYS) -> list[str]:
@@ -31,8 +35,8 @@ def feature_names(horizon: int = HORIZON_DAYS) -> list[str]:
 
 def _frame_sum(metric: str, first: int, last: int, complete_from: int) -> Column:
     """Sum over rows [first, last] around the current one; NULL before row ``complete_from``."""
-    whole = F.row_number().over(BY_DAY) >= complete_from
-    return F.when(whole, F.sum(metric).over(BY_DAY.rowsBetween(first, last))).cast("double")
+    whole = F.row_number().over(by_day()) >= complete_from
+    return F.when(whole, F.sum(metric).over(by_day().rowsBetween(first, last))).cast("double")
 
 
 def trailing_sum(metric: str, days: int) -> Column:
@@ -44,7 +48,7 @@ def trailing_mean(metric: str, days: int) -> Column:
 
 
 def lagged(metric: str, days: int = HORIZON_DAYS) -> Column:
-    return F.lag(metric, days).over(BY_DAY)
+    return F.lag(metric, days).over(by_day())
 
 
 def trend(metric: str, days: int = 28) -> Column:
@@ -60,8 +64,8 @@ def prior_year_sum() -> Column:
 
 def next_days_sum(horizon: int = HORIZON_DAYS) -> Column:
     """Revenue of the ``horizon`` following days; NULL unless all of them are present."""
-    known = F.lead("revenue", horizon).over(BY_DAY).isNotNull()
-    return F.when(known, F.sum("revenue").over(BY_DAY.rowsBetween(1, horizon)))
+    known = F.lead("revenue", horizon).over(by_day()).isNotNull()
+    return F.when(known, F.sum("revenue").over(by_day().rowsBetween(1, horizon)))
 
 
 def calendar_columns(date: str = "date") -> dict[str, Column]:
