@@ -1,0 +1,4 @@
+"""All checked queries; importing this package registers them."""
+
+from tillcast.catalog import ingest_queries  # noqa: F401
+from tillcast.catalog.registry import ORACLE, QUERIES  # noqa: F401

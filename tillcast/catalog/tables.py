@@ -67,7 +67,7 @@ txn AS (
 )"""
 
 
-def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_lines(spark: SparkSession, sf_dir: str, keep_order_no: bool = False) -> DataFrame:
     """The same lines as raw text with faults mixed in, one order in 50 twice."""
     key = F.col("o_orderkey")
     part = F.col("l_partkey")
@@ -88,12 +88,9 @@ def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("o_orderdate", "dd").alias("day"),
         F.concat(F.lit("invoices-"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".json")).alias("source_file"),
     )
-    copies = raw.where(key_is_copied()).withColumn("source_file", F.lit("invoices-again.json"))
-    return raw.unionByName(copies).drop("order_no")
-
-
-def key_is_copied():
-    return F.col("order_no") % 50 == 0
+    copies = raw.where(F.col("order_no") % 50 == 0).withColumn("source_file", F.lit("invoices-again.json"))
+    both = raw.unionByName(copies)
+    return both if keep_order_no else both.drop("order_no")
 
 
 DIRTY_SQL = """

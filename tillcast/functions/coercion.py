@@ -21,37 +21,54 @@ def trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def parsed_number(text: Column) -> Column:
+    """Double of a decimal number text (infinite when too large), else NULL; reads the text once."""
+    return F.regexp_substr(trimmed(text), F.lit(NUMBER_PATTERN)).try_cast("double")
+
+
+def finite(value: Column) -> Column:
+    return F.when(F.abs(value) <= LARGEST, value)
+
+
+def whole(value: Column) -> Column:
+    """BIGINT of a double without fraction, else NULL."""
+    return F.when((value == F.floor(value)) & (F.abs(value) < LARGEST_LONG), value.try_cast("bigint"))
+
+
+def truncated(value: Column) -> Column:
+    """BIGINT cut toward zero; 0 when there is no usable number."""
+    return F.when(F.abs(value) < LARGEST_LONG, value.try_cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+
+
 def finite_number(text: Column) -> Column:
     """Double, or NULL when the text is not a finite decimal number."""
-    bare = trimmed(text)
-    value = F.when(bare.rlike(NUMBER_PATTERN), bare.try_cast("double"))
-    return F.when(F.abs(value) <= LARGEST, value)
+    return finite(parsed_number(text))
 
 
 def whole_number(text: Column) -> Column:
     """BIGINT, or NULL when the text is not a whole number."""
-    exact = trimmed(text).try_cast("bigint")
-    value = finite_number(text)
-    return F.coalesce(exact, F.when((value == F.floor(value)) & (F.abs(value) < LARGEST_LONG), value.try_cast("bigint")))
+    return F.coalesce(text.try_cast("bigint"), whole(parsed_number(text)))
 
 
 def truncated_or_zero(text: Column) -> Column:
-    """BIGINT cut toward zero; 0 for anything that is not a number."""
-    value = finite_number(text)
-    return F.coalesce(F.when(F.abs(value) < LARGEST_LONG, value.try_cast("bigint")), F.lit(0).cast("bigint"))
+    return truncated(parsed_number(text))
 
 
-def calendar_date(year: Column, month: Column, day: Column) -> Column:
-    """DATE from text parts; NULL for impossible dates and those outside the representable range.
+def date_of_parts(year: Column, month: Column, day: Column) -> Column:
+    """DATE from BIGINT parts; NULL for impossible dates and those outside the representable range.
 
     The range also bounds the length of any dense calendar built later.
     """
-    y, m, d = whole_number(year), whole_number(month), whole_number(day)
-    date = F.concat_ws(
-        "-", F.lpad(y.cast("string"), 4, "0"), m.cast("string"), d.cast("string")
-    ).try_cast("date")
-    present = y.between(1000, 9999) & m.between(1, 12) & d.between(1, 31)
-    return F.when(present & date.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")), date)
+    text = F.concat_ws("-", year.cast("string"), month.cast("string"), day.cast("string"))
+    first, last = F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")
+    plausible = year.between(F.year(first), F.year(last)) & month.between(1, 12) & day.between(1, 31)
+    date = F.when(plausible, text.try_cast("date"))
+    return F.when(year.between(F.year(first) + 1, F.year(last) - 1), date).when(date.between(first, last), date)
+
+
+def calendar_date(year: Column, month: Column, day: Column) -> Column:
+    """DATE from text parts."""
+    return date_of_parts(whole_number(year), whole_number(month), whole_number(day))
 
 
 def letter_prefix(invoice: Column) -> Column:

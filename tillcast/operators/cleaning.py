@@ -17,6 +17,10 @@ SKIPPED_FILE = "in_skipped_file"
 FILE_MARKER = "file_marker"
 
 
+def calendar_parts() -> dict[str, Column]:
+    return {"year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date")}
+
+
 def trim_strings(raw: DataFrame, columns=("country", "invoice", "stream_id")) -> DataFrame:
     return raw.withColumns({c: C.trimmed(F.col(c)) for c in columns})
 
@@ -27,17 +31,18 @@ def split_invoice(df: DataFrame) -> DataFrame:
 
 
 def coerce_lines(raw: DataFrame) -> DataFrame:
-    """Typed columns next to each other; nothing is dropped here."""
-    date = C.calendar_date(F.col("year"), F.col("month"), F.col("day"))
-    typed = trim_strings(raw).withColumns({
-        "customer_id": C.whole_number(F.col("customer_id")),
-        "price": C.finite_number(F.col("price")),
-        "times_viewed": C.truncated_or_zero(F.col("times_viewed")),
-        "date": date,
-    })
-    return split_invoice(typed).withColumns({
-        "year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date"),
+    """Typed columns in place of the text; nothing is dropped here.
+
+    Done in steps that each read the previous one's columns, so every text is parsed once.
+    """
+    numbers = trim_strings(raw).withColumns({
+        c: C.parsed_number(F.col(c)) for c in ("price", "times_viewed")
+    } | {c: C.whole_number(F.col(c)) for c in ("customer_id", "year", "month", "day")})
+    typed = numbers.withColumns({
+        "price": C.finite(F.col("price")), "times_viewed": C.truncated(F.col("times_viewed")),
+        "date": C.date_of_parts(F.col("year"), F.col("month"), F.col("day")),
     })
+    return split_invoice(typed).withColumns(calendar_parts())
 
 
 def first_failed_rule() -> Column:
@@ -78,9 +83,7 @@ def collapse_lines(tagged: DataFrame) -> DataFrame:
 
 def clean_lines(collapsed: DataFrame) -> DataFrame:
     """The clean transaction table, in its fixed column order."""
-    kept = split_invoice(collapsed.where(F.col("drop_reason").isNull())).withColumns({
-        "year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date"),
-    })
+    kept = split_invoice(collapsed.where(F.col("drop_reason").isNull())).withColumns(calendar_parts())
     return kept.select(*TRANSACTION_COLUMNS)
 
 
@@ -148,6 +151,4 @@ def union_sources(frames: dict[str, DataFrame], dedup_across_sources: bool = Fal
         return combined
     first = F.min(F.struct("data_source", "source_file")).alias("first_seen")
     kept = combined.groupBy(*LINE_KEY).agg(first).select(*LINE_KEY, "first_seen.*")
-    return split_invoice(kept).withColumns({
-        "year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date"),
-    }).select(*TRANSACTION_COLUMNS, "data_source")
+    return split_invoice(kept).withColumns(calendar_parts()).select(*TRANSACTION_COLUMNS, "data_source")
