@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What counts as white space, as a number, and the representable dates.
+# What counts as white space, as a number, and the representable dates (yyyymmdd).
 WHITESPACE = (
     " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-FIRST_DATE, LAST_DATE = "1677-09-22", "2262-04-11"
+PART_PATTERN = r"^(\d{1,4})(?:\.0*)?$"
+FIRST_DAY_NUMBER, LAST_DAY_NUMBER = 16770922, 22620411
 
 LARGEST = 1.7976931348623157e308
 LARGEST_LONG = 9.2e18
@@ -54,21 +55,24 @@ def truncated_or_zero(text: Column) -> Column:
     return truncated(parsed_number(text))
 
 
+def date_part(text: Column) -> Column:
+    """INT of up to four digits, also written like ``2018.0``; reads the text once."""
+    return F.regexp_extract(trimmed(text), PART_PATTERN, 1).try_cast("int")
+
+
 def date_of_parts(year: Column, month: Column, day: Column) -> Column:
-    """DATE from BIGINT parts; NULL for impossible dates and those outside the representable range.
+    """DATE from INT parts; NULL for impossible dates and those outside the representable range.
 
     The range also bounds the length of any dense calendar built later.
     """
     text = F.concat_ws("-", year.cast("string"), month.cast("string"), day.cast("string"))
-    first, last = F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")
-    plausible = year.between(F.year(first), F.year(last)) & month.between(1, 12) & day.between(1, 31)
-    date = F.when(plausible, text.try_cast("date"))
-    return F.when(year.between(F.year(first) + 1, F.year(last) - 1), date).when(date.between(first, last), date)
+    in_range = (year * 10000 + month * 100 + day).between(FIRST_DAY_NUMBER, LAST_DAY_NUMBER)
+    return F.when(in_range & month.between(1, 12) & day.between(1, 31), text.try_cast("date"))
 
 
 def calendar_date(year: Column, month: Column, day: Column) -> Column:
     """DATE from text parts."""
-    return date_of_parts(whole_number(year), whole_number(month), whole_number(day))
+    return date_of_parts(date_part(year), date_part(month), date_part(day))
 
 
 def letter_prefix(invoice: Column) -> Column:

@@ -36,8 +36,10 @@ def coerce_lines(raw: DataFrame) -> DataFrame:
     Done in steps that each read the previous one's columns, so every text is parsed once.
     """
     numbers = trim_strings(raw).withColumns({
-        c: C.parsed_number(F.col(c)) for c in ("price", "times_viewed")
-    } | {c: C.whole_number(F.col(c)) for c in ("customer_id", "year", "month", "day")})
+        **{c: C.parsed_number(F.col(c)) for c in ("price", "times_viewed")},
+        **{c: C.date_part(F.col(c)) for c in ("year", "month", "day")},
+        "customer_id": C.whole_number(F.col("customer_id")),
+    })
     typed = numbers.withColumns({
         "price": C.finite(F.col("price")), "times_viewed": C.truncated(F.col("times_viewed")),
         "date": C.date_of_parts(F.col("year"), F.col("month"), F.col("day")),
