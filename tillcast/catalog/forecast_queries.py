@@ -55,23 +55,27 @@ def seasonal_naive_forecast(spark, sf_dir):
     return rounded(baseline_holdout(spark, sf_dir).where(F.col("model") == "seasonal_naive"), 2)
 
 
-METRIC_PLACES = {"mae": 2, "rmse": 2, "mape": 6, "mean_actual": 2}
+METRIC_PLACES = {"mae": 2, "rmse": 2, "mean_actual": 2}
 
 
-@query("regression_metrics", f"WITH {S.MODEL_METRICS} SELECT series, model, {S.rounded_columns(METRIC_PLACES)} FROM metrics")
+# Percentage errors reach 1e12 where an actual is near zero: their logarithm is compared.
+@query("regression_metrics", f"""WITH {S.MODEL_METRICS}
+SELECT series, model, {S.rounded_columns(METRIC_PLACES)}, round(log10(mape), 8) AS log10_mape FROM metrics""")
 def regression_metrics(spark, sf_dir):
-    return shown(EV.regression_metrics(baseline_holdout(spark, sf_dir)), **METRIC_PLACES)
+    out = EV.regression_metrics(baseline_holdout(spark, sf_dir)).withColumn("log10_mape", F.log10("mape")).drop("mape")
+    return shown(out, log10_mape=8, **METRIC_PLACES)
 
 
 @query("evaluate_models", f"""WITH {S.MODEL_METRICS}
-SELECT model, CAST(count(*) AS BIGINT) AS n_series, round(avg(mae), 2) AS mae, round(avg(mape), 6) AS mape FROM metrics GROUP BY model""")
+SELECT model, CAST(count(*) AS BIGINT) AS n_series, round(avg(mae), 2) AS mae, round(log10(avg(mape)), 8) AS log10_mape
+FROM metrics GROUP BY model""")
 def evaluate_models(spark, sf_dir):
     built = materialise(supervised(spark, sf_dir), "supervised")
     predictions = comparison.holdout_predictions(built, {}, FC.BASELINES)
     per_series = EV.regression_metrics(predictions)
     return shown(per_series.groupBy("model").agg(
-        F.count(F.lit(1)).alias("n_series"), F.avg("mae").alias("mae"), F.avg("mape").alias("mape"),
-    ), mae=2, mape=6)
+        F.count(F.lit(1)).alias("n_series"), F.avg("mae").alias("mae"), F.log10(F.avg("mape")).alias("log10_mape"),
+    ), mae=2, log10_mape=8)
 
 
 def _normalised(spark, sf_dir):

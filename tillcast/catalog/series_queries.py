@@ -209,13 +209,13 @@ FRAME_30 = S.over("29 PRECEDING", "CURRENT ROW")
 
 
 @query("rolling_mean_30_min7", f"""WITH {S.DAILY}
-SELECT series, {day('date')}, revenue, CASE WHEN count(*) {FRAME_30} >= 7
-       THEN round(round(sum(revenue) {FRAME_30}, 2) / count(*) {FRAME_30}, 4) END AS rolling_mean FROM daily""")
+SELECT series, {day('date')}, revenue, CASE WHEN count(*) {FRAME_30} >= 7 THEN round(sum(revenue) {FRAME_30}, 2) END AS mean_times_days
+FROM daily""")
 def rolling_mean_30_min7(spark, sf_dir):
-    """Means are taken back to whole cents of their sum first, so that exact halves round alike."""
+    """The mean is shown times its number of days, in whole cents: exact halves round differently per engine."""
     out = X.rolling_mean(series(spark, sf_dir))
     days = F.least(F.row_number().over(SV.by_day()), F.lit(30))
-    return shown(out.withColumn("rolling_mean", F.round(F.col("rolling_mean") * days, 2) / days), rolling_mean=4)
+    return shown(out.withColumn("mean_times_days", F.col("rolling_mean") * days).drop("rolling_mean"), mean_times_days=2)
 
 
 INDEXED = S.DAILY + ",\nrolled AS (SELECT series, date, row_number() OVER (PARTITION BY series ORDER BY date) AS n, " + ", ".join(

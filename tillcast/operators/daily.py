@@ -56,6 +56,10 @@ def densify(sparse: DataFrame, metrics=DAILY_METRICS) -> DataFrame:
     Each row is stretched up to the day before its successor, so there is no calendar table and no
     join, and the partitioning by series stays for the window functions that follow.
     """
+    # Daily rows are few bytes but much window work: a fixed number of partitions keeps the series
+    # spread over the cores, where size-based coalescing would put them in one task.
+    width = sparse.sparkSession.sparkContext.defaultParallelism
+    sparse = sparse.repartition(width, "series")
     by_series = Window.partitionBy("series").orderBy("date")
     successor = F.lead("date").over(by_series)
     last_day = F.greatest(F.date_sub(F.col("_successor"), 1), F.col("date"))

@@ -77,20 +77,38 @@ def calendar_columns(date: str = "date") -> dict[str, Column]:
 
 
 def build_features(series: DataFrame, horizon: int = HORIZON_DAYS, with_target: bool = True) -> DataFrame:
-    """Feature table keyed by (series, date); features look back only, the target looks ahead."""
+    """Feature table keyed by (series, date); features look back only, the target looks ahead.
+
+    Every distinct frame is evaluated once, in one window step; the features are plain arithmetic on
+    those columns.
+    """
+    frames: dict[str, Column] = {"_row": F.row_number().over(by_day())}
+    for m in DAILY_METRICS:
+        for w in TRAILING_WINDOWS:
+            frames[f"_{m}_{w}"] = F.sum(m).over(by_day().rowsBetween(1 - w, 0))
+        frames[f"_{m}_before"] = F.sum(m).over(by_day().rowsBetween(-55, -28))
+        frames[f"{m}_lag_{horizon}d"] = lagged(m, horizon)
+    frames["_prior"] = F.sum("revenue").over(by_day().rowsBetween(-394, -365))
+    if with_target:
+        frames[TARGET] = next_days_sum(horizon)
+    base = series.select("series", "date", *[c.alias(name) for name, c in frames.items()])
+
+    def from_row(first: int, name: str) -> Column:
+        return F.when(F.col("_row") >= first, F.col(name).cast("double"))
+
     columns: dict[str, Column] = {}
     for m in DAILY_METRICS:
         for w in TRAILING_WINDOWS:
-            columns[f"{m}_sum_{w}d"] = trailing_sum(m, w)
-            columns[f"{m}_mean_{w}d"] = trailing_mean(m, w)
-        columns[f"{m}_lag_{horizon}d"] = lagged(m, horizon)
-        columns[f"{m}_trend_28d"] = trend(m)
-    columns["has_prior_year_data"] = prior_year_sum().isNotNull().cast("int")
-    columns["revenue_sum_30d_prior_year"] = F.coalesce(prior_year_sum(), F.lit(0.0))
+            columns[f"{m}_sum_{w}d"] = from_row(w, f"_{m}_{w}")
+            columns[f"{m}_mean_{w}d"] = from_row(w, f"_{m}_{w}") / F.lit(float(w))
+        columns[f"{m}_lag_{horizon}d"] = F.col(f"{m}_lag_{horizon}d")
+        columns[f"{m}_trend_28d"] = from_row(28, f"_{m}_28") / F.lit(28.0) - from_row(56, f"_{m}_before") / F.lit(28.0)
+    columns["has_prior_year_data"] = (F.col("_row") >= 395).cast("int")
+    columns["revenue_sum_30d_prior_year"] = F.coalesce(from_row(395, "_prior"), F.lit(0.0))
     columns.update(calendar_columns())
     if with_target:
-        columns[TARGET] = next_days_sum(horizon)
-    return series.select("series", "date", *[c.alias(name) for name, c in columns.items()])
+        columns[TARGET] = F.col(TARGET)
+    return base.select("series", "date", *[c.alias(name) for name, c in columns.items()])
 
 
 def build_supervised(series: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
