@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tillcast.constants import HORIZON_DAYS, MIN_TRAINING_ROWS, NON_MARKET_LABELS, TOP_MARKETS
 from tillcast.operators.daily import densify, round_revenue
-from tillcast.operators.evaluation import actual_next_days
 from tillcast.operators.forecast import fit_ridge, naive, ridge_prediction, seasonal_naive
 from tillcast.operators.markets import observed_as_of, trained_as_of
 from tillcast.operators.supervised import TARGET, build_features, feature_names
+from tillcast.session import materialise
 
 
 def walk_forward_days(spark, start: date, end: date, retrain_every: int = 7) -> DataFrame:
@@ -44,7 +44,8 @@ def rolling_origin_backtest(
     observed = observed_as_of(activity, days, end)
     listed = trained_as_of(observed, top_n, labels).select("origin", "series", "last_observed")
     series = round_revenue(densify(activity))
-    features = build_features(series, horizon)
+    # One row per series and day: written once, then read by the fits, the scoring and the actuals.
+    features = materialise(build_features(series, horizon), "features")
     usable = features.dropna(subset=[*feature_names(horizon), TARGET])
     training = usable.join(listed, "series").where(F.date_add("date", horizon) <= F.col("last_observed"))
     if model == "ridge":
@@ -60,5 +61,5 @@ def rolling_origin_backtest(
     scored = asked.join(features.dropna(subset=feature_names(horizon)), ["series", "date"]).select(
         "series", "date", "origin", F.round(predicted, 2).alias("predicted")
     )
-    actuals = actual_next_days(series, horizon).withColumnRenamed("actual_revenue_next_30d", "actual")
+    actuals = features.select("series", "date", F.col(TARGET).alias("actual"))
     return scored.join(actuals, ["series", "date"], "left").withColumn("error", F.col("predicted") - F.col("actual"))
