@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from tillcast.catalog import QUERIES
@@ -29,6 +30,7 @@ def main() -> None:
         begun = time.time()
         QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[key] = round(time.time() - begun, 3)
+        print(key, seconds[key], file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),

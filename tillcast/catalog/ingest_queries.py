@@ -13,7 +13,7 @@ from tillcast.functions import coercion as C
 from tillcast.operators import cleaning as CL
 from tillcast.operators.markets import top_countries
 from tillcast.plans.ingest import ingest_directory
-from tillcast.session import scratch_path
+from tillcast.session import materialise, scratch_path
 from tillcast.sinks import tables as W
 from tillcast.sources import invoices as INV
 
@@ -239,8 +239,9 @@ def drop_bad_debt(spark, sf_dir):
 @query("dedup_exact", f"""WITH {S.CLEANED}
 SELECT country, customer_id, invoice, stream_id, price, times_viewed, {day('date')}, source_file FROM kept""")
 def dedup_exact(spark, sf_dir):
-    good = tagged(spark, sf_dir).where(F.col("drop_reason").isNull())
-    return shown(CL.drop_duplicate_lines(good).select(*LINE_KEY, "source_file"))
+    """Through the collapsed table, as in the ingest plan: a filter on the raw rules would repeat their parsing."""
+    collapsed = materialise(CL.collapse_lines(tagged(spark, sf_dir)), "collapsed")
+    return shown(CL.clean_lines(collapsed).select(*LINE_KEY, "source_file"))
 
 
 @query("ingestion_report", f"WITH {S.CLEANED} " + _report_sql(
