@@ -25,7 +25,8 @@ REMEMBERED = 400_000
 
 NONE = np.int64(1) << 60
 #: The characters that Unicode calls white space.
-SPACES = re.compile("[" + "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]+")
+SPACE = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+SPACES = re.compile(f"[{SPACE}]+")
 #: Python's split() also splits at these.
 SPLIT_ONLY = re.compile("[\x1c-\x1f]")
 
@@ -204,7 +205,7 @@ class WordBpe:
 
     def learn(self, pieces: set[str]) -> None:
         """Adds what is new to the remembered pieces."""
-        new = pieces - self.known.keys()
+        new = pieces.difference(self.known)
         if not new:
             return
         if len(self.known) + len(new) > REMEMBERED:

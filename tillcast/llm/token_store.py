@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm.bpe import REMEMBERED, vocabulary
+from tillcast.llm.bpe import SPACE, vocabulary
 from tillcast.llm.common import chunks
 from tillcast.session import materialise, scratch_path
 
@@ -28,16 +28,22 @@ MAGIC = b"TILLTOK1"
 #: Documents that one reading step covers.
 READ_DOCS = 20_000
 
-#: A single space between two characters that are not white space: a new word starts here in any case.
-BORDER = re.compile(r"(?<=\S) (?=\S)")
-OTHER = re.compile(r"[^\S ] | [^\S ]|  ")
+#: Words of new text that the library gets at once, and in one line; bytes of text that a step of a task holds, words remembered.
+BATCH = 10_000
+LINE = 500
+STEP_BYTES = 2_000_000
+REMEMBERED = 300_000
+
+#: White space but for the blank and the line feed.
+RARE = [c for c in SPACE if c not in " \n"]
+BORDER = re.compile(f"(?=[{SPACE}][^{SPACE}])")
 
 
 class ByteEncoder:
     """Whole texts to ids by the tokenizers library; words seen before are not encoded again.
 
-    A text is cut only at single spaces between visible characters, where the vocabulary's own pattern always
-    starts a new word, so the ids of the pieces are the ids of the text.
+    A text is cut before each white space character that a visible one follows: there the vocabulary's own
+    pattern always starts anew, so the ids of the pieces are the ids of the text.
     """
 
     def __init__(self, spec: str):
@@ -49,34 +55,67 @@ class ByteEncoder:
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.width = 2 if size <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
+        tokens = self.library.get_vocab(with_added_tokens=True)
+        added = {x.content for x in self.library.get_added_tokens_decoder().values()}
+        self.sizes = np.zeros(max(tokens.values()) + 1, np.int64)
+        for token, i in tokens.items():
+            self.sizes[i] = len(token.encode()) if token in added else len(token)  # a letter of a token is a byte
+        #: Ids of a word with the blank before it, or of one that starts with a line feed.
         self.known: dict[str, bytes] = {}
 
-    def learn(self, words: set[str]) -> None:
-        new = words - self.known.keys()
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(pieces, add_special_tokens=False) if pieces else []
+        return [np.array(x.ids, self.kind).tobytes() for x in found]
+
+    def _ids_of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that each begin with white space and end with a visible character.
+
+        The library gets them in lines of many words; a line's ids are parted by the bytes that tokens stand for.
+        """
+        out: list[bytes] = []
+        for at in range(0, len(words), BATCH):
+            some = words[at:at + BATCH]
+            lines = [some[i:i + LINE] for i in range(0, len(some), LINE)]
+            for line, x in zip(lines, self.library.encode_batch_fast(["".join(ws) for ws in lines], add_special_tokens=False)):
+                ids = np.array(x.ids, np.int64)
+                ends = self.sizes[ids].cumsum()
+                wanted = np.fromiter((len(w.encode()) for w in line), np.int64, len(line)).cumsum()
+                last = np.searchsorted(ends, wanted)
+                if not (ends[np.minimum(last, len(ends) - 1)] == wanted).all():
+                    out += self._ids(line)
+                    continue
+                data, cuts = ids.astype(self.kind).tobytes(), [0, *((last + 1) * self.width).tolist()]
+                out += [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = words
-        asked = list(new)
-        for at in range(0, len(asked), 50_000):
-            some = asked[at:at + 50_000]
-            found = self.library.encode_batch_fast(some, add_special_tokens=False)
-            self.known.update(zip(some, [np.array(x.ids, self.kind).tobytes() for x in found]))
+        odd = new & {"", "\n"}
+        asked = list(new - odd)
+        self.known.update(zip(asked, self._ids_of_words([w if w[0] == "\n" else " " + w for w in asked])))
+        self.known.update(zip(odd, self._ids([w or " " for w in odd])))
 
     def encode(self, texts: list[str | None], end: int | None = 0) -> list[bytes]:
         """Ids of each text in this vocabulary's width, with ``end`` appended."""
-        cut = []
+        first, cut = [], []
         for t in texts:
-            if not t:
+            t = t or ""
+            if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or any(c in t for c in RARE):
+                first.append(self._ids([p for p in BORDER.split(t) if p]))
                 cut.append([])
-            elif t[0] == " " or t[-1] == " " or OTHER.search(t):
-                cut.append(BORDER.split(t))
             else:
-                cut.append(t.split(" "))
-        cut = [[ws[0], *[" " + w for w in ws[1:]]] if ws else ws for ws in cut]
-        self.learn(set().union(*cut) if cut else set())
-        known = self.known
-        tail = b"" if end is None else np.array([end], self.kind).tobytes()
-        return [b"".join([known[w] for w in ws]) + tail for ws in cut]
+                words = t.replace("\n", " \n").split(" ")
+                first.append(words[:1])
+                cut.append(words[1:])
+        self._learn(set().union(*cut) if cut else set())
+        opening = self._ids([f[0] if f and isinstance(f[0], str) else "" for f in first])
+        look, tail = self.known.__getitem__, b"" if end is None else np.array([end], self.kind).tobytes()
+        return [
+            b"".join((*(f if f and isinstance(f[0], bytes) else [o]), *map(look, ws), tail)) for f, o, ws in zip(first, opening, cut)
+        ]
 
 
 _READY: dict[str, ByteEncoder] = {}
@@ -124,7 +163,7 @@ def write_tokens(
         keys, empty, sizes = [], [], []
         out = None
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", STEP_BYTES):
                 out = out or system.open_output_stream(f"{top}/{name}.bin")
                 found = encoder.encode(part.column(1).to_pylist(), end)
                 out.write(b"".join(found))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillcast.llm.common import add_columns, bounded_sample, held_out
+from tillcast.llm.common import add_columns, bounded_sample, chunks, held_out
 from tillcast.session import materialise
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
@@ -40,8 +40,8 @@ class Settings:
     """``toxic``, ``clean``: sample of labelled rows of each kind (at most twice that many). ``entries``: bound of
     the lexicon's words, and of its stems. ``evidence``: least log-likelihood ratio of an entry."""
 
-    toxic: int = 4_000
-    clean: int = 8_000
+    toxic: int = 3_000
+    clean: int = 6_000
     entries: int = 4_000
     evidence: float = 30.0
     least_odds: float = 2.0
@@ -129,7 +129,7 @@ class Scorer:
                 continue
             lower = text.lower()
             found = set(WORD.findall(lower))
-            new = found - known.keys()
+            new = found.difference(known)
             if new:
                 if len(known) > self.REMEMBERED:
                     known.clear()
@@ -169,19 +169,23 @@ _MENACES = set(THREATS.split())
 def _contexts(sample: DataFrame) -> DataFrame:
     """(word, toxic, context): each different pair of neighbours of a word, by label."""
 
-    def run(frames):
-        import pandas as pd
+    def run(batches):
+        import pyarrow as pa
         import xxhash
 
-        for frame in frames:
-            seen = set()
-            for text, toxic in zip(frame["text"], frame["toxic"]):
-                words = ["", *WORD.findall((text or "").lower()), ""]
-                seen.update((w, toxic, xxhash.xxh64_intdigest(f"{a} {b}") >> 1) for a, w, b in zip(words, words[1:], words[2:]))
-            if seen:
-                yield pd.DataFrame(list(seen), columns=["word", "toxic", "context"])
+        for batch in batches:
+            for part in chunks(batch, "text", 1_000_000):
+                seen = set()
+                for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    words = ["", *WORD.findall((text or "").lower()), ""]
+                    seen.update((w, toxic, xxhash.xxh64_intdigest(f"{a} {b}") >> 1) for a, w, b in zip(words, words[1:], words[2:]))
+                if seen:
+                    word, toxic, context = zip(*seen)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(word, pa.string()), pa.array(toxic, pa.int32()), pa.array(context, pa.int64())], names=["word", "toxic", "context"],
+                    )
 
-    return sample.mapInPandas(run, "word string, toxic int, context long").distinct()
+    return sample.select("text", "toxic").mapInArrow(run, "word string, toxic int, context long").distinct()
 
 
 def _ratio(t, c, all_t: float, all_c: float):
@@ -208,7 +212,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", column: str =
     texts = docs.select(F.col(key).alias("key"), F.col(column).cast("string").alias("text")).where("text is not null")
     most = 4 * (settings.toxic + settings.clean)
     sample = texts.join(F.broadcast(chosen), "key").select("text", "toxic").limit(most)  # chosen has at most 2 x the sample's rows
-    sample = materialise(sample.groupBy("text").agg(F.max("toxic").alias("toxic")), "labelled")
+    sample = sample.groupBy("text").agg(F.max("toxic").alias("toxic")).repartition(spark.sparkContext.defaultParallelism)
+    sample = materialise(sample, "labelled")
     # seeded, so that workers of one job agree on hash(): the context column is made distinct across them
     counts = materialise(_contexts(sample).groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")), "contexts")
     totals = counts.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.sum("c"), F.lit(0)).alias("c")).first()
