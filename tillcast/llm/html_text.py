@@ -145,11 +145,18 @@ def main_text(page: str | None) -> str:
         return "\n".join(x[0] for x, own in zip(lines[first:last], inside[first:last]) if own)
     # links weigh against a line: a menu is all links
     size = np.array([max(0, len(x[0]) - 2 * x[1]) for x in lines])
-    sums = np.convolve(size, np.ones(WINDOW, int))
+    sums = _window_sums(size)
     first, last = _surge_and_dive(size, max(1, min(SURGE_CHARS, int(sums.max())), int(SURGE_SHARE * sums.max())))
     return "\n".join(x[0] for x in lines[first:last])
 
 
+def _window_sums(size: np.ndarray) -> np.ndarray:
+    """Total length of the window around each line."""
+    half = WINDOW // 2
+    total = np.concatenate((np.zeros(half + 1, int), size, np.zeros(half, int))).cumsum()
+    return total[WINDOW:] - total[:-WINDOW]
+
+
 def _surge_and_dive(size: np.ndarray, least: int) -> tuple[int, int]:
     """First line, and the one past the last, of the stretch of highest total whose window sums stay high.
 
@@ -159,7 +166,7 @@ def _surge_and_dive(size: np.ndarray, least: int) -> tuple[int, int]:
     if least <= 1:
         full = np.flatnonzero(size)
         return (int(full[0]), int(full[-1]) + 1) if len(full) else (0, 0)
-    sums = np.convolve(size, np.ones(WINDOW, int), "same")
+    sums = _window_sums(size)
     high = np.flatnonzero(np.diff(np.concatenate(([0], (sums >= least).astype(np.int8), [0])))).reshape(-1, 2)
     total = np.concatenate(([0], size.cumsum()))
     best = max(high.tolist(), key=lambda s: total[s[1]] - total[s[0]], default=[0, 0])

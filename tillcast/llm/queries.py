@@ -107,8 +107,8 @@ VECTORS_SQL = """
 WITH RECURSIVE usable AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
