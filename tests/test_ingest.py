@@ -98,3 +98,16 @@ def test_gaps_are_zero_and_distincts_are_per_level(spark):
     assert (first["purchases"], first["unique_streams"], first["unique_customers"], first["total_views"]) == (2, 1, 1, 5)
     asked = spark.createDataFrame([("Nowhere",), ("Germany",)], "series string")
     assert [r[0] for r in unknown_series(asked, series).collect()] == ["Nowhere"]
+
+
+def test_text_behind_the_array_makes_a_file_unreadable(spark):
+    from tillcast.sources.invoices import REQUIRED_FIELDS, file_outcomes, parse_exports
+
+    one = "{" + ", ".join(f'"{f}": "a ] }} \\" [ {{"' for f in REQUIRED_FIELDS) + ', "more": [[1], {"x": [2]}]}'
+    texts = {
+        "good": f"[{one}]", "two": f"[{one}, {one}] ", "strings": f'["[ {{", {one}]', "again": f"[{one}][{one}]", "comma": f"[{one}],[{one}]",
+        "junk": f"[{one}] junk]", "closed": f"[{one}]]",
+    }
+    rows = parse_exports(spark.createDataFrame([(t, n) for n, t in texts.items()], "value string, source_file string"))
+    found = {r.source_file: r.file_status for r in file_outcomes(rows).collect()}
+    assert found == {n: "loaded" if n in ("good", "two", "strings") else "unreadable" for n in texts}

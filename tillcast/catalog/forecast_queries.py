@@ -24,9 +24,9 @@ from tillcast.session import materialise, scratch_path
 PREDICTED = "SELECT series, {0}, model, round(actual, 2) AS actual, round(predicted, 2) AS predicted FROM {1}".format(day("date"), "{0}")
 LEARNED_SETTINGS = {
     "ridge": {"alpha": 10.0},
-    "random_forest": {"n_estimators": 50, "max_depth": 6},
-    "gbt": {"max_depth": 3, "learning_rate": 0.1, "max_iter": 30},
-    "gbt_leafwise": {"n_estimators": 30, "max_depth": 4, "learning_rate": 0.1, "num_leaves": 15},
+    "random_forest": {"n_estimators": 200, "max_depth": 6},
+    "gbt": {"max_depth": 3, "learning_rate": 0.1, "max_iter": 100},
+    "gbt_leafwise": {"n_estimators": 150, "max_depth": 4, "learning_rate": 0.1, "num_leaves": 15},
 }
 
 

@@ -11,6 +11,7 @@ WHITESPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+DIGITS_PATTERN = r"^[+-]?\d{1,19}$"
 PART_PATTERN = r"^(\d{1,4})(?:\.0*)?$"
 FIRST_DAY_NUMBER, LAST_DAY_NUMBER = 16770922, 22620411
 
@@ -46,9 +47,14 @@ def finite_number(text: Column) -> Column:
     return finite(parsed_number(text))
 
 
+def plain_whole(text: Column) -> Column:
+    """BIGINT of a text of digits only, which is exact; NULL for all else. Other texts never reach the cast."""
+    return F.when(text.rlike(DIGITS_PATTERN), text.try_cast("bigint"))
+
+
 def whole_number(text: Column) -> Column:
     """BIGINT, or NULL when the text is not a whole number."""
-    return F.coalesce(text.try_cast("bigint"), whole(parsed_number(text)))
+    return F.coalesce(plain_whole(trimmed(text)), whole(parsed_number(text)))
 
 
 def truncated_or_zero(text: Column) -> Column:

@@ -38,13 +38,14 @@ def coerce_lines(raw: DataFrame) -> DataFrame:
     numbers = trim_strings(raw).withColumns({
         **{c: C.parsed_number(F.col(c)) for c in ("price", "times_viewed")},
         **{c: C.date_part(F.col(c)) for c in ("year", "month", "day")},
-        "customer_id": C.whole_number(F.col("customer_id")),
+        "customer_id": C.plain_whole(C.trimmed(F.col("customer_id"))), "_id_number": C.parsed_number(F.col("customer_id")),
     })
     typed = numbers.withColumns({
+        "customer_id": F.coalesce("customer_id", C.whole(F.col("_id_number"))),
         "price": C.finite(F.col("price")), "times_viewed": C.truncated(F.col("times_viewed")),
         "date": C.date_of_parts(F.col("year"), F.col("month"), F.col("day")),
     })
-    return split_invoice(typed).withColumns(calendar_parts())
+    return split_invoice(typed.drop("_id_number")).withColumns(calendar_parts())
 
 
 def first_failed_rule() -> Column:

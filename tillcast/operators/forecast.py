@@ -236,7 +236,6 @@ def permutation_importance(
     base = scored(rows).groupBy("series").agg(r_squared(actual, predicted).alias("base"))
     dropped = scored(swapped).groupBy(*copy_keys).agg(r_squared(actual, predicted).alias("r2")).join(base, "series")
     label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("feature_no") + 1)
-    return (
-        dropped.groupBy("series", label.alias("feature")).agg(F.avg(F.col("base") - F.col("r2")).alias("importance"))
-        .orderBy(F.desc("importance"), "feature").limit(top)
-    )
+    found = dropped.groupBy("series", label.alias("feature")).agg(F.avg(F.col("base") - F.col("r2")).alias("importance"))
+    place = F.row_number().over(Window.partitionBy("series").orderBy(F.desc("importance"), "feature"))
+    return found.withColumn("_place", place).where(F.col("_place") <= top).drop("_place").orderBy("series", F.desc("importance"), "feature")

@@ -18,8 +18,11 @@ OK, MISSING, UNKNOWN, BAD_DATE, OUT_OF_RANGE, TOO_SHORT = (
 
 
 def resolve_series(requests: DataFrame, trained: DataFrame) -> DataFrame:
-    """Adds ``series`` (NULL when unknown): names compare trimmed and without case."""
-    names = trained.select("series", lookup_key(F.col("series")).alias("_key"))
+    """Adds ``series`` (NULL when unknown): names compare trimmed and without case.
+
+    Of trained names that differ by case only the last in order answers, so a request stays one row.
+    """
+    names = trained.groupBy(lookup_key(F.col("series")).alias("_key")).agg(F.max("series").alias("series"))
     return requests.withColumn("_key", lookup_key(F.col("country"))).join(names, "_key", "left").drop("_key")
 
 
