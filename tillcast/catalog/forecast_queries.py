@@ -360,16 +360,19 @@ def backtest_ridge(spark, sf_dir):
     return rounded(rolling_origin_backtest(known, START, END, EVERY, "ridge", labels=LABELS), 2)
 
 
-# --- learned models (no SQL form) -----------------------------------------------------------------
+# --- learned models: rows and actuals in SQL, predictions finite; the full results have no SQL form ---
 
-def _learned(spark: SparkSession, sf_dir: str, family: str, every_series: bool = False) -> DataFrame:
-    rows = materialise(supervised(spark, sf_dir), "supervised") if every_series else overall_supervised(spark, sf_dir)
-    return comparison.holdout_predictions(rows, LEARNED_SETTINGS, (family,))
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(supervised(spark, sf_dir), "supervised")
+
+
+def _learned(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
+    return comparison.holdout_predictions(_rows(spark, sf_dir), LEARNED_SETTINGS, (family,))
 
 
 @query("ridge_forecast")
 def ridge_forecast(spark, sf_dir):
-    return _learned(spark, sf_dir, "ridge", every_series=True)
+    return _learned(spark, sf_dir, "ridge")
 
 
 @query("random_forest_forecast")
@@ -387,52 +390,80 @@ def gbt_leafwise_forecast(spark, sf_dir):
     return _learned(spark, sf_dir, "gbt_leafwise")
 
 
+@query("learned_forecast_rows", f"""WITH {S.BASELINES}
+SELECT f.family, p.series, {day('p.date')}, round(p.actual, 2) AS actual, true AS is_finite
+FROM predictions p, (SELECT unnest(['ridge', 'random_forest', 'gbt', 'gbt_leafwise']) AS family) f WHERE p.model = 'naive'""")
+def learned_forecast_rows(spark, sf_dir):
+    """Held-out rows of all learned models: which days, their actuals, and whether each prediction is a number."""
+    found = comparison.holdout_predictions(_rows(spark, sf_dir), LEARNED_SETTINGS, FC.LEARNED)
+    is_finite = F.col("predicted").isNotNull() & ~F.isnan("predicted") & (F.abs("predicted") < float("inf"))
+    return rounded(found.select(F.col("model").alias("family"), "series", "date", "actual", is_finite.alias("is_finite")), 2)
+
+
 @query("evaluate_learned_models")
 def evaluate_learned_models(spark, sf_dir):
-    """All six models on the overall series' held-out tail."""
-    return EV.regression_metrics(comparison.holdout_predictions(overall_supervised(spark, sf_dir), LEARNED_SETTINGS))
+    """All six models on every series' held-out tail."""
+    return EV.regression_metrics(comparison.holdout_predictions(_rows(spark, sf_dir), LEARNED_SETTINGS))
 
 
 @query("holdout_predictions")
 def holdout_predictions(spark, sf_dir):
-    """Held-out rows of the overall series under its best learned model."""
-    predictions = materialise(comparison.holdout_predictions(
-        overall_supervised(spark, sf_dir), LEARNED_SETTINGS, ("ridge", "gbt"),
-    ), "predictions")
+    """Held-out rows of the overall series under its best learned model of all four families."""
+    predictions = materialise(comparison.holdout_predictions(overall_supervised(spark, sf_dir), LEARNED_SETTINGS, FC.LEARNED), "predictions")
     return comparison.overall_holdout(predictions, EV.regression_metrics(predictions))
 
 
 @query("tune_hyperparameters")
 def tune_hyperparameters(spark, sf_dir):
-    grids = {"ridge": FC.GRIDS["ridge"], "gbt": [
-        {"max_depth": 2, "learning_rate": 0.2, "max_iter": 10}, {"max_depth": 3, "learning_rate": 0.2, "max_iter": 10},
-    ]}
-    return comparison.tune(overall_supervised(spark, sf_dir), grids)
+    """All twelve candidates at full settings."""
+    return comparison.tune(overall_supervised(spark, sf_dir))
+
+
+@query("compare_and_store")
+def compare_and_store(spark, sf_dir):
+    """The whole comparison: tuned, evaluated on every series, chosen among the learned families, stored; its record read back."""
+    path = scratch_path(spark, "compared")
+    comparison.compare_and_store(_rows(spark, sf_dir), path)
+    return spark.read.json(f"{path}/comparison").select("series", "model", "mae", "rmse", "mape", "normalised_mae", "winner")
 
 
 def trained_models(spark: SparkSession, sf_dir: str):
     path = scratch_path(spark, "models")
-    done = training.retrain(
-        clean(spark, sf_dir), path, family="gbt", hyperparameters=LEARNED_SETTINGS["gbt"], labels=LABELS, parallelism=8,
-    )
+    done = training.retrain(clean(spark, sf_dir), path, family="gbt", hyperparameters=LEARNED_SETTINGS["gbt"], labels=LABELS)
     return path, done
 
 
-@query("retrain_all_series")
+@query("retrain_all_series", f"""WITH {S.SUPERVISED}
+SELECT series, replace(lower(series), ' ', '_') AS slug, CAST(count(*) AS BIGINT) AS n_training_rows,
+       {day('min(date)', 'first_date')}, {day('max(date)', 'last_date')},
+       CASE WHEN count(*) < 20 THEN 'only ' || count(*) || ' usable training rows' END AS skip_reason
+FROM supervised GROUP BY series""")
 def retrain_all_series(spark, sf_dir):
-    return trained_models(spark, sf_dir)[1].registry.select("series", "slug", "n_training_rows", "first_date", "last_date", "skip_reason")
+    return shown(trained_models(spark, sf_dir)[1].registry.select("series", "slug", "n_training_rows", "first_date", "last_date", "skip_reason"))
 
 
 @query("write_models")
 def write_models(spark, sf_dir):
     """Ridge models stored for every trained series, loaded again and applied to the latest day."""
     path = scratch_path(spark, "models")
-    training.retrain(clean(spark, sf_dir), path, family="ridge", hyperparameters={"alpha": 10.0}, labels=LABELS, parallelism=8)
+    training.retrain(clean(spark, sf_dir), path, family="ridge", hyperparameters={"alpha": 10.0}, labels=LABELS)
     latest = materialise(SV.latest_features(SV.build_features(series(spark, sf_dir), with_target=False)), "latest")
-    return FC.score_models(latest, training.load_models(spark, path)).select("series", "date", "predicted", *SHORT_LIST)
+    return FC.predict_models(latest, training.load_models(spark, path)).select("series", "date", "predicted", *SHORT_LIST)
+
+
+@query("batch_predict_stored")
+def batch_predict_stored(spark, sf_dir):
+    """Requests answered by the stored boosted models, with the drift verdict of each answered day."""
+    path, done = trained_models(spark, sf_dir)
+    rows = materialise(features(spark, sf_dir), "features")
+    known = done.registry.where(F.col("skip_reason").isNull()).select("series")
+    out = scoring.batch_predict(
+        requests(spark, sf_dir), rows, known, training.stored_scorer(spark, path), summary=done.features,
+    )
+    return out.groupBy("country", "date", "series", "status", "predicted_revenue_next_30d", "drift_detected").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("permutation_importance")
 def permutation_importance(spark, sf_dir):
-    rows = overall_supervised(spark, sf_dir)
-    return FC.permutation_importance(rows, FC.fit_one(rows, "gbt", LEARNED_SETTINGS["gbt"]))
+    rows = _rows(spark, sf_dir)
+    return FC.permutation_importance(rows, FC.fit_models(rows, FC.candidates({"gbt": [LEARNED_SETTINGS["gbt"]]})))

@@ -1,20 +1,21 @@
-"""Forecasters: two baselines, ridge for all series in one grouped job, MLlib trees per series."""
+"""Forecasters: two baselines, and all learned families fitted for many series in one grouped job."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.constants import MODEL_SEED
 from tillcast.operators.supervised import TARGET, feature_names
+from tillcast.operators.trees import Trees, fit_boosted, fit_forest
 
 BASELINES = ("naive", "seasonal_naive")
 LEARNED = ("ridge", "random_forest", "gbt", "gbt_leafwise")
@@ -48,6 +49,8 @@ DEFAULT_PARAMETERS = {"max_depth": 3, "learning_rate": 0.1, "max_iter": 100}
 DEEPEST = 30
 OPEN_DEPTH = 6
 BOOSTED_LEAF = 20
+# Leaves of a boosted tree when the parameters name none.
+OPEN_LEAVES = 31
 
 
 # --- baselines --------------------------------------------------------------------------------
@@ -114,7 +117,7 @@ def predict_ridge(features: DataFrame, weights: DataFrame, keys=("series",), nam
     return joined.withColumn("predicted", ridge_prediction(names)).drop("intercept", "weights", "n_train")
 
 
-# --- MLlib estimators -------------------------------------------------------------------------
+# --- MLlib estimators, for one series too long for a task -------------------------------------------------------------------------
 
 def family_name(name: str) -> str:
     return FAMILY_SYNONYMS.get(name, name)
@@ -151,7 +154,7 @@ def make_estimator(name: str, hp: dict, names: list[str] | None = None, n: int =
             featureSubsetStrategy="all", seed=MODEL_SEED, **common,
         )
     else:
-        raise ValueError(f"unknown model name: {name}")
+        raise ValueError(f"no such model family: {name}")
     return Pipeline(stages=[assembler, model])
 
 
@@ -164,17 +167,119 @@ def fit_one(train: DataFrame, name: str, hp: dict, names: list[str] | None = Non
     return make_estimator(name, hp, names, size, spread).fit(data)
 
 
-def fit_many(jobs: dict, parallelism: int = 4) -> dict:
-    """Fit several (train, family, parameters) jobs at a time: key -> PipelineModel.
+# --- all families, any number of fits: one grouped job ---------------------------------------------
+
+JOB_SCHEMA = "family string, candidate int, parameters string"
+MODEL_SCHEMA = (
+    "n_train bigint, intercept double, weights array<double>, feature array<int>, threshold array<double>, "
+    "child array<int>, node_value array<double>, root array<int>"
+)
+
+
+def candidates(grids: dict[str, list[dict]]) -> list[tuple[str, int, str]]:
+    """(family, candidate, parameters) of every entry of a grid."""
+    return [(family_name(name), i, json.dumps(hp)) for name, entries in grids.items() for i, hp in enumerate(entries)]
+
+
+def fit_arrays(x: np.ndarray, y: np.ndarray, name: str, hp: dict) -> Trees | tuple[float, np.ndarray]:
+    """A fitted model of one series: trees, or (intercept, weights) of a ridge."""
+    name = family_name(name)
+    if name == "ridge":
+        return _ridge_weights(x, y, float(hp.get("alpha", 1.0)))
+    n_trees, depth = hp.get("n_estimators", hp.get("max_iter", 100)), hp.get("max_depth")
+    depth = None if depth is None or depth < 0 else depth
+    if name == "random_forest":
+        return fit_forest(x, y, n_trees, depth, hp.get("min_samples_leaf", 1), MODEL_SEED)
+    if name in ("gbt", "gbt_leafwise"):
+        return fit_boosted(x, y, n_trees, hp.get("learning_rate", 0.1), depth, hp.get("num_leaves", OPEN_LEAVES), BOOSTED_LEAF)
+    raise ValueError(f"no such model family: {name}")
+
+
+def _applied(model, x: np.ndarray) -> np.ndarray:
+    return model.predict(x) if isinstance(model, Trees) else model[0] + x @ model[1]
+
+
+def _matrix(values: pd.Series) -> np.ndarray:
+    return np.stack(values.to_numpy()).astype(float)
+
+
+def _spread(frame: DataFrame, keys) -> DataFrame:
+    """Rows dealt by ``keys`` over a fixed number of tasks: fits cost time, not bytes, so they must not be merged by size."""
+    spark = frame.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return frame.repartition(tasks, *keys)
+
+
+def _packed(rows: DataFrame, keys, names, extra=()) -> DataFrame:
+    values = F.array(*[F.col(n).cast("double") for n in (names or feature_names())]).alias("_x")
+    return rows.select(*keys, "date", *extra, F.col(TARGET).cast("double").alias("_y") if TARGET in rows.columns
+                       else F.lit(None).cast("double").alias("_y"), values)
+
+
+def _with_jobs(rows: DataFrame, jobs) -> DataFrame:
+    """Every row once per job of a literal, short list."""
+    listed = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(c).alias("candidate"), F.lit(p).alias("parameters")) for f, c, p in jobs])
+    return rows.withColumn("_job", F.explode(listed)).select("*", "_job.*").drop("_job")
+
+
+def _kinds(frame: DataFrame, keys) -> str:
+    return ", ".join(f"{k} {frame.schema[k].dataType.simpleString()}" for k in keys)
 
-    Each fit is a Spark job; the threads only overlap their scheduling.
-    """
-    def run(item):
-        key, (train, name, hp) = item
-        return key, fit_one(train, name, hp)
 
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return dict(pool.map(run, jobs.items()))
+def fit_models(train: DataFrame, jobs, keys=("series",), names: list[str] | None = None) -> DataFrame:
+    """One model row per group and job; a group is one series (or a fold of it): one row per calendar day."""
+    by = [*keys, "family", "candidate", "parameters"]
+    rows = _spread(_with_jobs(_packed(train, keys, names), jobs), by)
+
+    def fit(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("date")
+        model = fit_arrays(_matrix(group["_x"]), group["_y"].to_numpy(float), key[-3], json.loads(key[-1]))
+        parts = ([model.intercept, None, model.feature, model.threshold, model.child, model.value, model.root]
+                 if isinstance(model, Trees) else [*model, None, None, None, None, None])
+        return pd.DataFrame({i: [v] for i, v in enumerate([*key, len(group), *parts])})
+
+    return rows.groupBy(*by).applyInPandas(fit, f"{_kinds(train, keys)}, {JOB_SCHEMA}, {MODEL_SCHEMA}")
+
+
+def _restored(row) -> Trees | tuple[float, np.ndarray]:
+    if row.weights is not None:
+        return row.intercept, np.asarray(row.weights)
+    return Trees(row.intercept, *[np.asarray(v) for v in (row.feature, row.threshold, row.child, row.node_value, row.root)])
+
+
+def predict_models(features: DataFrame, models: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Rows of modelled series with ``predicted``, once per stored model of the series; needs distinct days per series."""
+    kept = [c for c in features.columns if c != "family"]
+    own = features.select(*kept, F.array(*[F.col(n).cast("double") for n in (names or feature_names())]).alias("_x"))
+    kind = ", ".join(f"`{c}` {features.schema[c].dataType.simpleString()}" for c in kept)
+
+    def apply(rows: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or stored.empty:
+            return pd.DataFrame(columns=[*kept, "family", "predicted"])
+        x = _matrix(rows["_x"])
+        return pd.concat([
+            rows[kept].assign(family=m.family, predicted=_applied(_restored(m), x)) for m in stored.itertuples()
+        ])
+
+    left, right = _spread(own, ["series"]), _spread(models, ["series"])
+    return left.groupBy("series").cogroup(right.groupBy("series")).applyInPandas(apply, f"{kind}, family string, predicted double")
+
+
+def held_out_predictions(rows: DataFrame, jobs, keys=("series",), names: list[str] | None = None) -> DataFrame:
+    """Fits each job on the group's rows of role 'train', and predicts those of role 'test'."""
+    by = [*keys, "family", "candidate", "parameters"]
+    dealt = _spread(_with_jobs(_packed(rows, keys, names, ["role"]), jobs), by)
+    shape = [*by, "date", "actual", "predicted"]
+
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("date")
+        train, test = group[group["role"] == "train"], group[group["role"] == "test"]
+        if train.empty or test.empty:
+            return pd.DataFrame(columns=shape)
+        model = fit_arrays(_matrix(train["_x"]), train["_y"].to_numpy(float), key[-3], json.loads(key[-1]))
+        return test[[*by, "date"]].assign(actual=test["_y"], predicted=_applied(model, _matrix(test["_x"])))[shape]
+
+    return dealt.groupBy(*by).applyInPandas(run, f"{_kinds(rows, keys)}, {JOB_SCHEMA}, date date, actual double, predicted double")
 
 
 def union_all(frames: Iterator[DataFrame]) -> DataFrame:
@@ -185,57 +290,39 @@ def union_all(frames: Iterator[DataFrame]) -> DataFrame:
     return combined
 
 
-def score_models(features: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
-    """Features of every modelled series with its own model's ``predicted``."""
-    columns = features.columns
-    return union_all(
-        model.transform(features.where(F.col("series") == series)).select(*columns, "predicted")
-        for series, model in models.items()
-    )
-
-
 def permutation_importance(
-    scored_rows: DataFrame, model: PipelineModel, names: list[str] | None = None, repeats: int = 8,
-    seed: int = MODEL_SEED, top: int = 12,
+    rows: DataFrame, models: DataFrame, names: list[str] | None = None, repeats: int = 8, seed: int = MODEL_SEED, top: int = 12,
 ) -> DataFrame:
     """Mean drop in R² when one feature's values trade places between the rows of one series.
 
-    Every (feature, repeat) copy shuffles rows by a seeded hash order; all copies are scored in one
-    pass. A series has one row per day, so a copy is as long as its calendar.
+    Rows and model meet once per series and feature; a copy of the rows lives only inside its task.
     """
-    from pyspark.sql import Window
-
-    from tillcast.functions.metrics import r_squared
-
     names = names or feature_names()
-    by_date = Window.partitionBy("series").orderBy("date")
-    rows = scored_rows.select(
-        "series", F.row_number().over(by_date).alias("row_no"), F.col(TARGET),
-        F.array(*[F.col(n).cast("double") for n in names]).alias("x"),
-    )
-    copies = rows.select(
-        "series", "row_no", TARGET, "x",
-        F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("feature_no"),
-    ).withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-    copy_keys = ["series", "feature_no", "repeat"]
-    shuffled = Window.partitionBy(*copy_keys).orderBy(
-        F.xxhash64(F.lit(seed), F.col("feature_no"), F.col("repeat"), F.col("row_no")), "row_no"
+    listed = F.sequence(F.lit(0), F.lit(len(names) - 1))
+    by = ["series", "feature_no"]
+    left = _spread(_packed(rows, ["series"], names).withColumn("feature_no", F.explode(listed)), by)
+    right = _spread(models.withColumn("feature_no", F.explode(listed)), by)
+
+    def measure(key: tuple, group: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+        if group.empty or stored.empty:
+            return pd.DataFrame(columns=["series", "family", "feature", "importance"])
+        group = group.sort_values("date")
+        x, y, number = _matrix(group["_x"]), group["_y"].to_numpy(float), int(key[1])
+        whole, out = float(((y - y.mean()) ** 2).sum()), []
+        for m in stored.itertuples():
+            model = _restored(m)
+            loss = lambda v: float(((_applied(model, v) - y) ** 2).sum())  # noqa: B023, E731
+            random, drops, base = np.random.default_rng([seed, number]), [], loss(x)
+            for _ in range(repeats):
+                swapped = x.copy()
+                swapped[:, number] = random.permutation(x[:, number])
+                drops.append((loss(swapped) - base) / whole if whole else 0.0)
+            out.append((key[0], m.family, names[number], float(np.mean(drops))))
+        return pd.DataFrame(out, columns=["series", "family", "feature", "importance"])
+
+    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
+        measure, "series string, family string, feature string, importance double",
     )
-    donors = copies.select(*copy_keys, F.row_number().over(shuffled).alias("row_no"),
-                           F.element_at("x", F.col("feature_no") + 1).alias("donated"))
-    swapped = copies.join(donors, [*copy_keys, "row_no"]).select(
-        *copy_keys, TARGET,
-        F.transform("x", lambda v, i: F.when(i == F.col("feature_no"), F.col("donated")).otherwise(v)).alias("x"),
-    )
-
-    def scored(frame: DataFrame) -> DataFrame:
-        wide = frame.select("*", *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
-        return model.transform(wide)
-
-    actual, predicted = F.col(TARGET), F.col("predicted")
-    base = scored(rows).groupBy("series").agg(r_squared(actual, predicted).alias("base"))
-    dropped = scored(swapped).groupBy(*copy_keys).agg(r_squared(actual, predicted).alias("r2")).join(base, "series")
-    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("feature_no") + 1)
-    found = dropped.groupBy("series", label.alias("feature")).agg(F.avg(F.col("base") - F.col("r2")).alias("importance"))
-    place = F.row_number().over(Window.partitionBy("series").orderBy(F.desc("importance"), "feature"))
-    return found.withColumn("_place", place).where(F.col("_place") <= top).drop("_place").orderBy("series", F.desc("importance"), "feature")
+    place = F.row_number().over(Window.partitionBy("series", "family").orderBy(F.desc("importance"), "feature"))
+    kept = found.withColumn("_place", place).where(F.col("_place") <= top).drop("_place")
+    return kept.orderBy("series", "family", F.desc("importance"), "feature")

@@ -3,57 +3,33 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.constants import OVERALL
 from tillcast.functions import metrics as M
 from tillcast.operators import forecast as FC
-from tillcast.operators.evaluation import best_model_per_series
-from tillcast.operators.supervised import TARGET, chronological_holdout, time_series_folds
+from tillcast.operators.evaluation import best_model_per_series, normalised_mae, regression_metrics, select_winner
+from tillcast.operators.supervised import chronological_holdout, time_series_folds
+from tillcast.plans.training import Training, fit_and_store
+from tillcast.session import materialise
 
 
-def _trees(grids: dict) -> list[str]:
-    return [name for name in grids if name != "ridge"]
-
-
-def tune(supervised: DataFrame, grids: dict | None = None, parallelism: int = 4, gap_days: int = 0) -> DataFrame:
+def tune(supervised: DataFrame, grids: dict | None = None, gap_days: int = 0) -> DataFrame:
     """Cross-validated score of every candidate: (family, candidate, parameters, cv_mae, is_best).
 
-    Folds are cut from the overall series only, at most one row per day.
+    Folds are cut from the overall series only, at most one row per day; every (fold, candidate) is
+    its own group of one job.
     """
-    grids = grids or FC.GRIDS
-    folds = time_series_folds(supervised.where(F.col("series") == OVERALL), gap_days=gap_days).persist()
-    numbers = [r["fold"] for r in folds.select("fold").distinct().orderBy("fold").collect()]
-    train, test = folds.where(F.col("role") == "train"), folds.where(F.col("role") == "test")
-    a, p = F.col(TARGET), F.col("predicted")
-    scores = []
-    if "ridge" in grids:
-        alphas = [hp["alpha"] for hp in grids["ridge"]]
-        weights = FC.fit_ridge(train, alphas, keys=("series", "fold"))
-        per_fold = FC.predict_ridge(test, weights, keys=("series", "fold")).groupBy("alpha", "fold").agg(M.mae(a, p).alias("mae"))
-        position = F.array_position(F.array(*[F.lit(float(x)) for x in alphas]), F.col("alpha")) - 1
-        scores.append(per_fold.select(F.lit("ridge").alias("family"), position.cast("int").alias("candidate"), "fold", "mae"))
-    jobs = {
-        (name, i, fold): (train.where(F.col("fold") == fold), name, hp)
-        for name in _trees(grids) for i, hp in enumerate(grids[name]) for fold in numbers
-    }
-    fitted = FC.fit_many(jobs, parallelism)
-    scores += [
-        model.transform(test.where(F.col("fold") == fold)).agg(M.mae(a, p).alias("mae"))
-        .select(F.lit(name).alias("family"), F.lit(i).alias("candidate"), F.lit(fold).alias("fold"), "mae")
-        for (name, i, fold), model in fitted.items()
-    ]
-    parameters = F.create_map(*[
-        F.lit(x) for name in grids for i, hp in enumerate(grids[name]) for x in (f"{name}/{i}", json.dumps(hp))
-    ])
-    result = FC.union_all(scores).groupBy("family", "candidate").agg(F.avg("mae").alias("cv_mae"))
-    best = result.groupBy("family").agg(F.min_by("candidate", F.struct("cv_mae", "candidate")).alias("_best"))
-    return result.join(best, "family").select(
-        "family", "candidate", parameters[F.concat_ws("/", "family", F.col("candidate").cast("string"))].alias("parameters"),
-        "cv_mae", (F.col("candidate") == F.col("_best")).alias("is_best"),
-    )
+    folds = time_series_folds(supervised.where(F.col("series") == OVERALL), gap_days=gap_days)
+    scored = FC.held_out_predictions(folds, FC.candidates(grids or FC.GRIDS), keys=("series", "fold"))
+    by = ["family", "candidate", "parameters"]
+    per_fold = scored.groupBy(*by, "fold").agg(M.mae(F.col("actual"), F.col("predicted")).alias("mae"))
+    result = per_fold.groupBy(*by).agg(F.avg("mae").alias("cv_mae"))
+    place = F.row_number().over(Window.partitionBy("family").orderBy("cv_mae", "candidate"))
+    return result.withColumn("is_best", place == 1)
 
 
 def best_parameters(tuned: DataFrame) -> dict[str, dict]:
@@ -62,28 +38,18 @@ def best_parameters(tuned: DataFrame) -> dict[str, dict]:
 
 
 def holdout_predictions(
-    supervised: DataFrame, parameters: dict[str, dict], models=FC.ALL_MODELS, parallelism: int = 4, gap_days: int = 0,
+    supervised: DataFrame, parameters: dict[str, dict], models=FC.ALL_MODELS, gap_days: int = 0,
 ) -> DataFrame:
     """(series, date, model, actual, predicted) on the held-out tail of every series."""
-    split = chronological_holdout(supervised, gap_days).persist()
-    train, test = split.where(F.col("role") == "train"), split.where(F.col("role") == "test")
+    split = chronological_holdout(supervised, gap_days)
     parts = []
     baselines = [m for m in FC.BASELINES if m in models]
     if baselines:
-        parts.append(FC.baseline_predictions(test, baselines))
-    shape = ["series", "date", "model", F.col(TARGET).alias("actual"), "predicted"]
-    if "ridge" in models:
-        weights = FC.fit_ridge(train, [parameters["ridge"]["alpha"]])
-        parts.append(FC.predict_ridge(test, weights).withColumn("model", F.lit("ridge")).select(*shape))
-    trees = [m for m in FC.LEARNED if m != "ridge" and m in models]
-    if trees:
-        # Series names: overall plus the top markets.
-        names = [r["series"] for r in split.select("series").distinct().orderBy("series").collect()]
-        jobs = {(m, s): (train.where(F.col("series") == s), m, parameters[m]) for m in trees for s in names}
-        fitted = FC.fit_many(jobs, parallelism)
-        for m in trees:
-            scored = FC.score_models(test, {s: fitted[(m, s)] for s in names})
-            parts.append(scored.withColumn("model", F.lit(m)).select(*shape))
+        parts.append(FC.baseline_predictions(split.where(F.col("role") == "test"), baselines))
+    learned = {m: [parameters[m]] for m in FC.LEARNED if m in models}
+    if learned:
+        scored = FC.held_out_predictions(split, FC.candidates(learned))
+        parts.append(scored.select("series", "date", F.col("family").alias("model"), "actual", "predicted"))
     return FC.union_all(parts)
 
 
@@ -91,3 +57,34 @@ def overall_holdout(predictions: DataFrame, metrics: DataFrame) -> DataFrame:
     """Held-out rows of the overall series under its best learned model."""
     best = best_model_per_series(metrics.where(F.col("series") == OVERALL), FC.LEARNED).select("series", "model")
     return predictions.join(best, ["series", "model"], "left_semi").select("date", "model", "actual", "predicted").orderBy("date")
+
+
+@dataclass(frozen=True)
+class Comparison:
+    """What was tried, measured and chosen, and the models stored for the winner."""
+
+    tuned: DataFrame
+    predictions: DataFrame
+    metrics: DataFrame
+    winner: str
+    training: Training
+
+
+def compare_and_store(supervised: DataFrame, models_dir: str, grids: dict | None = None, gap_days: int = 0, **store) -> Comparison:
+    """Tune, evaluate all models on every series, choose among the learned ones, refit the winner on all rows, store.
+
+    Beside the models, ``comparison`` holds the metrics and the choice, and ``overall_holdout`` the
+    overall series' held-out rows under its best learned model as CSV.
+    """
+    tuned = materialise(tune(supervised, grids, gap_days), "tuned")
+    parameters = best_parameters(tuned)
+    learned = tuple(m for m in FC.LEARNED if m in parameters)
+    predictions = materialise(holdout_predictions(supervised, parameters, (*FC.BASELINES, *learned), gap_days), "predictions")
+    metrics = materialise(normalised_mae(regression_metrics(predictions), supervised), "metrics")
+    winner = select_winner(metrics, learned).first()["winner"]
+    training = fit_and_store(supervised, models_dir, winner, parameters[winner], **store)
+    metrics.withColumn("winner", F.lit(winner)).coalesce(1).write.mode("overwrite").json(f"{models_dir}/comparison")
+    tuned.coalesce(1).write.mode("overwrite").json(f"{models_dir}/tuning")
+    chosen = overall_holdout(predictions, metrics).coalesce(1)
+    chosen.write.mode("overwrite").option("header", True).csv(f"{models_dir}/overall_holdout")
+    return Comparison(tuned, predictions, metrics, winner, training)

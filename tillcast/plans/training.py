@@ -7,18 +7,18 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.constants import HORIZON_DAYS, MIN_TRAINING_ROWS, NON_MARKET_LABELS, TOP_MARKETS
 from tillcast.functions.coercion import slug
 from tillcast.operators import forecast as FC
-from tillcast.operators.cleaning import up_to
+from tillcast.operators.cleaning import union_sources, up_to
 from tillcast.operators.daily import daily_activity, densify, keep_series, round_revenue
 from tillcast.operators.drift import feature_summary
 from tillcast.operators.markets import as_transactions, top_countries
 from tillcast.operators.supervised import build_supervised, feature_names, series_summary
+from tillcast.plans.ingest import ingest_directory
 from tillcast.session import materialise
 from tillcast.sources.invoices import IngestionError
 
@@ -50,27 +50,19 @@ def selected_approach(spark: SparkSession, models_dir: str) -> tuple[str, dict]:
 
 def fit_and_store(
     supervised: DataFrame, models_dir: str, family: str, hyperparameters: dict, top_n: int = TOP_MARKETS,
-    as_of=None, data_dirs=(), n_transactions: int = 0, parallelism: int = 4,
+    as_of=None, data_dirs=(), n_transactions: int = 0,
 ) -> Training:
     """Fit one model per long enough series, write models, registry and feature summary."""
     spark = supervised.sparkSession
     family = FC.family_name(family)
     summary = series_summary(supervised, MIN_TRAINING_ROWS).withColumn("slug", slug(F.col("series")))
-    # One row per series: overall plus the top markets.
-    outcome = summary.collect()
-    jobs = {
-        (r["series"], r["slug"]): (supervised.where(F.col("series") == r["series"]), family, hyperparameters)
-        for r in outcome if r["skip_reason"] is None
-    }
-    for (_, name), model in FC.fit_many(jobs, parallelism).items():
-        model.write().overwrite().save(f"{models_dir}/{name}")
+    long_enough = supervised.join(summary.where(F.col("skip_reason").isNull()).select("series"), "series", "left_semi")
+    FC.fit_models(long_enough, FC.candidates({family: [hyperparameters]})).write.mode("overwrite").parquet(f"{models_dir}/models")
     stored = {k: json.dumps(v) for k, v in hyperparameters.items()}
-    registry = spark.createDataFrame(
-        [(r["series"], r["slug"], r["n_training_rows"], r["first_date"], r["last_date"], r["skip_reason"]) for r in outcome],
-        "series string, slug string, n_training_rows bigint, first_date date, last_date date, skip_reason string",
-    ).withColumns({
+    kept = ["series", "slug", "n_training_rows", "first_date", "last_date", "skip_reason"]
+    registry = materialise(summary.select(*kept), "registry").withColumns({
         "model_family": F.lit(family),
-        "hyperparameters": F.create_map(*[F.lit(x) for kv in stored.items() for x in kv]).cast("map<string,string>"),
+        "hyperparameters": (F.create_map(*[F.lit(x) for kv in stored.items() for x in kv]) if stored else F.create_map()).cast("map<string,string>"),
         "horizon_days": F.lit(HORIZON_DAYS), "top_n": F.lit(top_n),
         "trained_at": F.lit(datetime.now(timezone.utc)).cast("timestamp"),
         "as_of": F.lit(as_of).cast("date"),
@@ -88,7 +80,7 @@ def fit_and_store(
 
 def retrain(
     transactions: DataFrame, models_dir: str, top_n: int = TOP_MARKETS, as_of=None, family: str | None = None,
-    hyperparameters: dict | None = None, data_dirs=(), labels=NON_MARKET_LABELS, parallelism: int = 4,
+    hyperparameters: dict | None = None, data_dirs=(), labels=NON_MARKET_LABELS,
 ) -> Training:
     """Refit on transactions up to ``as_of``.
 
@@ -107,14 +99,24 @@ def retrain(
     series = round_revenue(densify(keep_series(activity, top)))
     supervised = materialise(build_supervised(series), "supervised")
     return fit_and_store(
-        supervised, models_dir, family, hyperparameters or {}, top_n, as_of, data_dirs, n_transactions, parallelism,
+        supervised, models_dir, family, hyperparameters or {}, top_n, as_of, data_dirs, n_transactions,
     )
 
 
-def load_models(spark: SparkSession, models_dir: str) -> dict[str, PipelineModel]:
-    """series -> fitted pipeline for every trained series of the registry."""
-    registry = load_registry(spark, models_dir)
-    if registry is None:
+def retrain_directories(spark: SparkSession, data_dirs, models_dir: str, **options) -> Training:
+    """Ingests the export directories, each cleaned on its own, and retrains on all their lines."""
+    frames = {folder: ingest_directory(spark, folder).transactions for folder in data_dirs}
+    return retrain(union_sources(frames).drop("data_source"), models_dir, data_dirs=data_dirs, **options)
+
+
+def load_models(spark: SparkSession, models_dir: str) -> DataFrame:
+    """One row per trained series, as ``fit_models`` gives it."""
+    if load_registry(spark, models_dir) is None:
         raise IngestionError(f"no trained models in {models_dir}")
-    rows = registry.where(F.col("skip_reason").isNull()).select("series", "slug").collect()
-    return {r["series"]: PipelineModel.load(f"{models_dir}/{r['slug']}") for r in rows}
+    return spark.read.parquet(f"{models_dir}/models")
+
+
+def stored_scorer(spark: SparkSession, models_dir: str):
+    """A scorer for batch requests: feature rows with ``predicted`` by the stored models."""
+    models = load_models(spark, models_dir)
+    return lambda features: FC.predict_models(features, models).drop("family")
