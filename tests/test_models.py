@@ -141,7 +141,7 @@ def test_importance_finds_the_feature_that_matters(rows):
 def test_retraining_knows_nothing_after_its_date(spark, tmp_path):
     days = [dt.date(2019, 1, 1) + dt.timedelta(days=k) for k in range(260)]
     lines = pd.DataFrame({
-        "date": days * 2, "country": ["Eire"] * 260 + ["Malta"] * 260, "customer_id": list(range(520)), "invoice": [str(k) for k in range(520)],
+        "date": days * 2, "country": ["Eire"] * 260 + ["Malta"] * 260, "customer_id": list(range(520)), "invoice_clean": [str(k) for k in range(520)],
         "stream_id": ["s"] * 520, "price": [5.0 + k % 11 for k in range(520)], "times_viewed": [k % 7 for k in range(520)],
     })
     frame = spark.createDataFrame(lines).withColumn("customer_id", F.col("customer_id").cast("bigint"))

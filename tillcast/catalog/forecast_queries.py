@@ -433,11 +433,11 @@ def trained_models(spark: SparkSession, sf_dir: str):
     return path, done
 
 
-@query("retrain_all_series", f"""WITH {S.SUPERVISED}
+@query("retrain_all_series", f"""WITH {S.SUPERVISED}{S.TOP}
 SELECT series, replace(lower(series), ' ', '_') AS slug, CAST(count(*) AS BIGINT) AS n_training_rows,
        {day('min(date)', 'first_date')}, {day('max(date)', 'last_date')},
        CASE WHEN count(*) < 20 THEN 'only ' || count(*) || ' usable training rows' END AS skip_reason
-FROM supervised GROUP BY series""")
+FROM supervised WHERE series = 'overall' OR series IN (SELECT country FROM top) GROUP BY series""")
 def retrain_all_series(spark, sf_dir):
     return shown(trained_models(spark, sf_dir)[1].registry.select("series", "slug", "n_training_rows", "first_date", "last_date", "skip_reason"))
 
