@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import numpy as np
 import pandas as pd
@@ -160,3 +161,24 @@ def test_retraining_knows_nothing_after_its_date(spark, tmp_path):
     for name in ("overall", "Eire", "Malta"):
         np.testing.assert_allclose(a[name], b[name], rtol=1e-6, atol=1e-6)
         assert not np.allclose(a[name], c[name])
+
+
+def test_retraining_from_folders_equals_retraining_on_their_lines(spark, tmp_path):
+    """Lines of both folders count, each folder cleaned on its own; a broken file is skipped."""
+    folders = [tmp_path / "one", tmp_path / "two"]
+    for number, folder in enumerate(folders):
+        folder.mkdir()
+        days = [dt.date(2019, 1, 1) + dt.timedelta(days=90 * number + k) for k in range(90)]
+        (folder / "invoices-1.json").write_text(json.dumps([
+            {"country": "Eire", "customer_id": k, "invoice": str(k), "price": 4.0 + k % 13, "stream_id": "s", "times_viewed": k % 5,
+             "year": str(d.year), "month": str(d.month), "day": str(d.day)} for k, d in enumerate(days)
+        ]))
+    (folders[1] / "invoices-2.json").write_text("{broken")
+    names = [str(f) for f in folders]
+    hp = {"family": "ridge", "hyperparameters": {"alpha": 1.0}}
+    done = training.retrain_directories(spark, names, str(tmp_path / "m"), **hp)
+    registry = {r["series"]: r for r in done.registry.collect()}
+    assert set(registry) == {"overall", "Eire"} and done.n_transactions == 180
+    assert registry["overall"]["data_dirs"] == names
+    assert registry["overall"]["n_training_rows"] == 180 - 69 - 30
+    assert training.load_models(spark, str(tmp_path / "m")).count() == 2
