@@ -230,10 +230,12 @@ def drift_flags(spark, sf_dir):
 
 @query("drift_verdict", f"""WITH {ZSCORES}
 SELECT series, 3.0::DOUBLE AS z_threshold, CAST(max(n_recent) AS BIGINT) AS n_recent_rows, CAST(count(*) AS BIGINT) AS n_features_checked,
-       CAST(count(*) FILTER (abs(z) > 3) AS BIGINT) AS n_flagged, round(max(abs(z)), 2) AS max_abs_z, bool_or(abs(z) > 3) AS drift_detected
+       CAST(count(*) FILTER (abs(z) > 3) AS BIGINT) AS n_flagged, round(max(abs(z)), 2) AS max_abs_z, bool_or(abs(z) > 3) AS drift_detected,
+       coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (abs(z) > 3), '') AS flagged
 FROM z GROUP BY series""")
 def drift_verdict(spark, sf_dir):
-    return shown(DR.drift_verdict(zscores(spark, sf_dir)).drop("flagged_features"))
+    flagged = F.array_join(F.sort_array(F.transform("flagged_features", lambda f: f["feature"])), ",")
+    return shown(DR.drift_verdict(zscores(spark, sf_dir)).withColumn("flagged", flagged).drop("flagged_features"))
 
 
 # --- requests -------------------------------------------------------------------------------------
