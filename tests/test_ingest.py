@@ -47,7 +47,12 @@ def test_every_rule_is_counted_once(spark, tmp_path):
     done = ingest_directory(spark, str(tmp_path))
     report = done.report.first().asDict()
     assert report["files_found"] == 8 and report["files_loaded"] == 2
-    assert report["files_failed"] == [f"invoices-2018-0{i}.json" for i in (3, 4, 5, 6, 7, 8)]
+    assert report["files_failed"] == 6
+    assert {tuple(r) for r in done.failed_files.collect()} == {
+        (f"invoices-2018-0{i}.json", status) for i, status in (
+            (3, "unreadable"), (4, "unreadable"), (5, "unreadable"), (6, "no_records"), (7, "missing_columns"), (8, "unreadable"),
+        )
+    }
     assert report["rows_dropped_bad_json_record"] == 6 and report["rows_in_skipped_files"] == 1
     assert report["rows_dropped_invalid_price"] == 3 and report["rows_dropped_invalid_date"] == 2
     assert report["rows_dropped_missing_required_field"] == 3 and report["rows_dropped_bad_debt_adjustment"] == 1

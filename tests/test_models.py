@@ -182,3 +182,24 @@ def test_retraining_from_folders_equals_retraining_on_their_lines(spark, tmp_pat
     assert registry["overall"]["data_dirs"] == names
     assert registry["overall"]["n_training_rows"] == 180 - 69 - 30
     assert training.load_models(spark, str(tmp_path / "m")).count() == 2
+
+
+def test_models_of_origins_are_those_of_their_own_rows(spark, tmp_path):
+    random = np.random.default_rng(5)
+    first, names = dt.date(2020, 1, 1), ["a", "b", "still"]
+    days = pd.DataFrame({"date": [first + dt.timedelta(days=k) for k in range(90)]})
+    days["series"] = "overall"
+    days["a"], days["b"] = 1e6 + random.normal(0, 5, 90), random.uniform(0, 1, 90)
+    days["still"] = np.where(np.arange(90) < 60, 3.0, 4.0)
+    days[SV.TARGET] = 2 * days["a"] - 7 * days["b"] + random.normal(0, 0.1, 90)
+    origins = pd.DataFrame({"series": "overall", "origin": [first + dt.timedelta(days=k) for k in (55, 40, 200)]})
+    origins["last_observed"] = origins["origin"]
+    train, asked = spark.createDataFrame(days), spark.createDataFrame(origins)
+    for family, hp in (("ridge", {"alpha": 10.0}), ("gbt", {"max_iter": 5})):
+        found = FC.fit_at_origins(train, asked, family, hp, 30, names, per_task=2).toPandas()
+        assert sorted(found["n_train"]) == [11, 26, 90]
+        for row in found.itertuples():
+            own = days.iloc[:row.n_train]
+            x, y = own[names].to_numpy(), own[SV.TARGET].to_numpy()
+            expected = FC._applied(FC.fit_arrays(x, y, family, hp), x)
+            assert np.allclose(FC._applied(FC._restored(row), x), expected, rtol=1e-9)

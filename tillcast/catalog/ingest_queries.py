@@ -29,7 +29,7 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- raw exports written from the tables ---------------------------------------------------------
 
 def exports(spark: SparkSession, sf_dir: str) -> str:
-    """A folder of JSON array files that holds every dirty line once, with faulty files among them.
+    """A folder of JSON array files that holds every dirty line, copies too, with faulty files among them.
 
     Lines are dealt to files by arithmetic on their keys; each file stays at a few thousand lines.
     One file in seven is cut off, one in five lacks a field, one in three has odd elements.
@@ -38,7 +38,7 @@ def exports(spark: SparkSession, sf_dir: str) -> str:
     if known in _written:
         return _written[known]
     n_files = table(spark, sf_dir, "lineitem").count() // LINES_PER_EXPORT + 1
-    lines = dirty_lines(spark, sf_dir, keep_order_no=True).where(F.col("source_file") != "invoices-again.json")
+    lines = dirty_lines(spark, sf_dir, keep_order_no=True)
     dealt = lines.withColumn(
         "file_no", F.pmod(F.col("order_no") * 31 + F.trim("stream_id").cast("bigint") * 17, F.lit(n_files))
     ).drop("source_file", "order_no")
@@ -66,7 +66,7 @@ EXPORTED = S.DIRTY_SQL + f""",
 dealt AS (
   SELECT *, (order_no * 31 + CAST(trim(stream_id) AS BIGINT) * 17)
             % ((SELECT count(*) FROM lineitem) // {LINES_PER_EXPORT} + 1) AS file_no
-  FROM dirty_once
+  FROM dirty
 ),
 sizes AS (SELECT file_no, count(*) AS n FROM dealt GROUP BY file_no),
 outcome AS (
@@ -147,6 +147,7 @@ def _report_sql(source: str, files: str = "") -> str:
 FILE_COUNTS = """
   (SELECT CAST(count(*) AS BIGINT) FROM outcome) AS files_found,
   (SELECT CAST(count(*) AS BIGINT) FROM outcome WHERE file_status = 'loaded') AS files_loaded,
+  (SELECT CAST(count(*) AS BIGINT) FROM outcome WHERE file_status <> 'loaded') AS files_failed,
   (SELECT CAST(sum(n_objects + n_odd) AS BIGINT) FROM outcome) AS rows_read,
   (SELECT CAST(coalesce(sum(n_objects), 0) AS BIGINT) FROM outcome WHERE file_status = 'missing_columns') AS rows_in_skipped_files,
   (SELECT CAST(sum(n_odd) AS BIGINT) FROM outcome) AS rows_dropped_bad_json_record,"""
@@ -157,7 +158,15 @@ def write_ingestion_report(spark, sf_dir):
     report = ingest_directory(spark, exports(spark, sf_dir), EXPORT_PATTERN).report
     path = scratch_path(spark, "report")
     W.write_report(report, path)
-    return spark.read.schema(report.schema).json(path).drop("files_failed")
+    return spark.read.schema(report.schema).json(path)
+
+
+@query("failed_export_files", f"""WITH {INGESTED}
+SELECT file_status, count(*) AS n_files FROM outcome WHERE file_status <> 'loaded' GROUP BY file_status""")
+def failed_export_files(spark, sf_dir):
+    """The table of rejected files, by what is wrong with them: their names are given by the writer."""
+    failed = ingest_directory(spark, exports(spark, sf_dir), EXPORT_PATTERN).failed_files
+    return failed.groupBy("file_status").agg(F.count("source_file").alias("n_files"))
 
 
 @query("ingest_exports", f"""WITH {INGESTED}

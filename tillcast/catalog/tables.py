@@ -71,6 +71,7 @@ def dirty_lines(spark: SparkSession, sf_dir: str, keep_order_no: bool = False) -
     """The same lines as raw text with faults mixed in, one order in 50 twice."""
     key = F.col("o_orderkey")
     part = F.col("l_partkey")
+    month_file = F.concat(F.lit("invoices-"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".json"))
     raw = _joined(spark, sf_dir).select(
         key.alias("order_no"),
         F.when(key % 103 == 0, F.lit(" nan ")).when(key % 107 == 0, F.lit("  "))
@@ -86,11 +87,9 @@ def dirty_lines(spark: SparkSession, sf_dir: str, keep_order_no: bool = False) -
         F.year("o_orderdate").cast("string").alias("year"),
         F.when(key % 101 == 0, F.lit("13")).otherwise(F.date_format("o_orderdate", "MM")).alias("month"),
         F.date_format("o_orderdate", "dd").alias("day"),
-        F.concat(F.lit("invoices-"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".json")).alias("source_file"),
+        F.explode(F.when(key % 50 == 0, F.array(month_file, F.lit("invoices-again.json"))).otherwise(F.array(month_file))).alias("source_file"),
     )
-    copies = raw.where(F.col("order_no") % 50 == 0).withColumn("source_file", F.lit("invoices-again.json"))
-    both = raw.unionByName(copies)
-    return both if keep_order_no else both.drop("order_no")
+    return raw if keep_order_no else raw.drop("order_no")
 
 
 DIRTY_SQL = """

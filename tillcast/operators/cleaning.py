@@ -98,10 +98,16 @@ def _file_counters(collapsed: DataFrame) -> list[Column]:
     return [
         F.count_if(marker).alias("files_found"),
         F.count_if(marker & (F.col("file_status") == "loaded")).alias("files_loaded"),
-        F.sort_array(F.collect_list(F.when(failed, F.col("file")))).alias("files_failed"),
+        F.count_if(failed).alias("files_failed"),
     ]
 
 
+def failed_files(collapsed: DataFrame) -> DataFrame:
+    """(source_file, file_status) of the files that were found and not loaded."""
+    failed = (F.col("drop_reason") == FILE_MARKER) & (F.col("file_status") != "loaded")
+    return collapsed.where(failed).select(F.col("file").alias("source_file"), "file_status")
+
+
 def audit_report(collapsed: DataFrame) -> DataFrame:
     """One row with the audit counters; they add up to ``rows_read``."""
     def rows(reason: str) -> Column:

@@ -7,46 +7,49 @@ from pyspark.sql import functions as F
 
 from tillcast.constants import DAILY_METRICS, OVERALL
 
+#: Revenue is summed in this type; prices from the limit on, which it cannot add up, are summed as doubles.
+EXACT, EXACT_BELOW = "decimal(28,6)", 1e18
+
 
 def daily_activity(transactions: DataFrame) -> DataFrame:
     """Sparse activity per (series, date): one series per country and one over all rows.
 
-    Distinct counts do not add up over countries, so both levels are grouped here. Each grouping
-    set pairs a level with one counted id; partial aggregation collapses repeated ids on the map
-    side, the shuffle is keyed by the id, and the second aggregation only counts groups. A country
-    or day that holds most rows therefore spreads over all tasks. Revenue is not rounded; ``n_lines``
-    counts the lines.
+    Lines are grouped once per counted id, by country, day and id: copies of an id collapse on the map
+    side and the shuffle is keyed by the id, so a country or day that holds most rows spreads over all
+    tasks. Distinct counts do not add up over countries; the overall series comes from those groups,
+    merged by id, instead of from the lines. Revenue is summed as decimals, so it does not depend on the
+    order of rows (a price counts to its sixth place), and stays unrounded; ``n_lines`` counts the lines.
     """
-    lines = transactions.select("date", "country", "invoice_clean", "stream_id", "customer_id", "price", "times_viewed")
-    level_ids = [
-        [*level, counted]
-        for level in (["date", "country"], ["date"])
-        for counted in ("invoice_clean", "stream_id", "customer_id")
-    ]
-    groups = lines.groupingSets(level_ids, "date", "country", "invoice_clean", "stream_id", "customer_id").agg(
-        F.sum("price").alias("revenue"),
-        F.sum("times_viewed").alias("views"),
-        F.count(F.lit(1)).alias("lines"),
-        F.grouping("country").alias("all_countries"),
-        F.grouping("invoice_clean").alias("no_invoice"),
-        F.grouping("stream_id").alias("no_stream"),
-        F.grouping("customer_id").alias("no_customer"),
+    exact = F.abs("price") < EXACT_BELOW
+    lines = transactions.select(
+        "date", "country", "invoice_clean", "stream_id", F.col("customer_id").cast("string").alias("customer_id"), "times_viewed",
+        F.when(exact, F.col("price")).try_cast(EXACT).alias("price"), F.when(~exact, F.col("price")).alias("large"),
+    )
+    ids = ("invoice_clean", "stream_id", "customer_id")
+    by_id = lines.groupingSets([["date", "country", i] for i in ids], "date", "country", *ids).agg(
+        F.sum("price").alias("price"), F.sum("large").alias("large"), F.sum("times_viewed").alias("views"),
+        F.count(F.lit(1)).alias("lines"), F.grouping_id().alias("grouping"),
     )
-    by_invoice = F.col("no_invoice") == 0
-    counted = [
-        F.count_if((F.col(flag) == 0) & F.col(column).isNotNull()).alias(name)
-        for flag, column, name in (
-            ("no_invoice", "invoice_clean", "purchases"),
-            ("no_stream", "stream_id", "unique_streams"),
-            ("no_customer", "customer_id", "unique_customers"),
-        )
-    ]
-    series = F.when(F.col("all_countries") == 1, F.lit(OVERALL)).otherwise(F.col("country"))
-    return groups.groupBy(series.alias("series"), "date").agg(
-        F.sum(F.when(by_invoice, F.col("revenue"))).alias("revenue"),
-        *counted,
-        F.sum(F.when(by_invoice, F.col("views"))).alias("total_views"),
-        F.sum(F.when(by_invoice, F.col("lines"))).alias("n_lines"),
+    # The two lower bits that are set name the ids left out.
+    kind = F.when(F.col("grouping") == 3, "invoice").when(F.col("grouping") == 5, "stream").otherwise("customer")
+    tagged = by_id.select("date", "country", kind.alias("kind"), F.coalesce(*ids).alias("id"), "price", "large", "views", "lines")
+    # Groups of a country are counted as they are; those of all countries keep their id to be merged first.
+    both = tagged.withColumn("_level", F.explode(F.array(
+        F.struct(F.col("country").alias("series"), F.lit(None).cast("string").alias("id"), F.col("id").isNotNull().cast("bigint").alias("n")),
+        F.struct(F.lit(OVERALL).alias("series"), F.col("id").alias("id"), F.lit(None).cast("bigint").alias("n")),
+    )))
+    totals = [F.sum(c).alias(c) for c in ("price", "large", "views", "lines")]
+    merged = both.groupBy("_level.series", "date", "kind", F.col("_level.id").alias("id")).agg(*totals, F.sum("_level.n").alias("n"))
+    n_ids = F.coalesce("n", F.col("id").isNotNull().cast("bigint"))
+    once = F.col("kind") == "invoice"
+    revenue = F.coalesce(F.sum(F.when(once, F.col("price"))).cast("double") + F.sum(F.when(once, F.col("large"))),
+                         F.sum(F.when(once, F.col("price"))).cast("double"), F.sum(F.when(once, F.col("large"))))
+    return merged.groupBy("series", "date").agg(
+        revenue.alias("revenue"),
+        *[F.sum(F.when(F.col("kind") == k, n_ids)).alias(name)
+          for k, name in (("invoice", "purchases"), ("stream", "unique_streams"), ("customer", "unique_customers"))],
+        F.sum(F.when(once, F.col("views"))).alias("total_views"),
+        F.sum(F.when(once, F.col("lines"))).alias("n_lines"),
     )
 
 

@@ -234,9 +234,7 @@ def fit_models(train: DataFrame, jobs, keys=("series",), names: list[str] | None
     def fit(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("date")
         model = fit_arrays(_matrix(group["_x"]), group["_y"].to_numpy(float), key[-3], json.loads(key[-1]))
-        parts = ([model.intercept, None, model.feature, model.threshold, model.child, model.value, model.root]
-                 if isinstance(model, Trees) else [*model, None, None, None, None, None])
-        return pd.DataFrame({i: [v] for i, v in enumerate([*key, len(group), *parts])})
+        return pd.DataFrame({i: [v] for i, v in enumerate([*key, len(group), *_stored(model)])})
 
     return rows.groupBy(*by).applyInPandas(fit, f"{_kinds(train, keys)}, {JOB_SCHEMA}, {MODEL_SCHEMA}")
 
@@ -247,8 +245,80 @@ def _restored(row) -> Trees | tuple[float, np.ndarray]:
     return Trees(row.intercept, *[np.asarray(v) for v in (row.feature, row.threshold, row.child, row.node_value, row.root)])
 
 
-def predict_models(features: DataFrame, models: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Rows of modelled series with ``predicted``, once per stored model of the series; needs distinct days per series."""
+def fit_at_origins(
+    train: DataFrame, origins: DataFrame, name: str, hp: dict, horizon: int, names: list[str] | None = None, per_task: int = 8,
+) -> DataFrame:
+    """One model row per row of ``origins`` (series, origin, last_observed), as ``fit_models`` gives it.
+
+    A row of day t trains the origins whose last observed day is t + ``horizon`` or later, so the training
+    rows of a series are prefixes of each other. A ridge needs only their sums: rows move once and each is
+    added once. Other families are fitted on each prefix, ``per_task`` origins in a task, and rows move
+    once per task. A group is one series: one row per calendar day.
+    """
+    names = names or feature_names()
+    name = family_name(name)
+    place = F.row_number().over(Window.partitionBy("series").orderBy("origin")) - 1
+    part = F.lit(0) if name == "ridge" else F.floor(place / per_task).cast("int")
+    dealt = origins.select("series", "origin", "last_observed", part.alias("_part"))
+    dealt, by, met_by = _spread(dealt, ["series", "_part"]), ["series", "_part"], ["series", "_met"]
+    parts = dealt.select("series", F.col("_part").alias("_met")).distinct()
+    rows = _spread(_packed(train, ["series"], names).join(parts, "series"), met_by)
+
+    def fit(key: tuple, group: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if group.empty or asked.empty:
+            return pd.DataFrame(columns=range(len(shape)))
+        group, asked = group.sort_values("date"), asked.sort_values("last_observed")
+        x, y = _matrix(group["_x"]), group["_y"].to_numpy(float)
+        last = pd.to_datetime(asked["last_observed"]) - pd.Timedelta(days=horizon)
+        ends = np.searchsorted(pd.to_datetime(group["date"]).to_numpy(), last.to_numpy(), side="right")
+        keep = ends > 0
+        fitted = (_ridge_of_prefixes(x, y, ends[keep], float(hp.get("alpha", 1.0))) if name == "ridge"
+                  else (fit_arrays(x[:n], y[:n], name, hp) for n in ends[keep]))
+        out = [
+            (key[0], origin, name, 0, stored, int(n), *_stored(model))
+            for origin, n, model in zip(asked["origin"][keep], ends[keep], fitted)
+        ]
+        return pd.DataFrame(out, columns=range(len(shape)), dtype=object)
+
+    stored = json.dumps(hp)
+    schema = f"{_kinds(origins, ['series', 'origin'])}, {JOB_SCHEMA}, {MODEL_SCHEMA}"
+    shape = schema.split(", ")
+    return rows.groupBy(*met_by).cogroup(dealt.groupBy(*by)).applyInPandas(fit, schema)
+
+
+def _stored(model) -> list:
+    """The model's part of a row of ``MODEL_SCHEMA``, after the number of rows."""
+    if isinstance(model, Trees):
+        return [model.intercept, None, model.feature, model.threshold, model.child, model.value, model.root]
+    return [*model, None, None, None, None, None]
+
+
+def _ridge_of_prefixes(x: np.ndarray, y: np.ndarray, ends, alpha: float) -> Iterator[tuple[float, np.ndarray]]:
+    """The model of ``_ridge_weights`` on the first ``n`` rows for each ``n`` of the ascending ``ends``, by running sums.
+
+    Values are first brought to mean 0 and deviation 1 over all rows, which changes no model and keeps the sums precise.
+    """
+    shift, scale = x.mean(axis=0), x.std(axis=0)
+    scale[scale == 0] = 1.0
+    x, base = (x - shift) / scale, y.mean()
+    y = y - base
+    low, high = np.minimum.accumulate(x), np.maximum.accumulate(x)
+    done, total, square, product = 0, np.zeros(x.shape[1]), np.zeros((x.shape[1],) * 2), np.zeros(x.shape[1])
+    for n in ends:
+        new = x[done:n]
+        total, square, product, done = total + new.sum(axis=0), square + new.T @ new, product + new.T @ y[done:n], n
+        mean, level = total / n, y[:n].mean()
+        spread = square / n - np.outer(mean, mean)
+        constant = low[n - 1] == high[n - 1]
+        spread[constant] = spread[:, constant] = 0.0
+        size = np.sqrt(np.where(constant, 1.0, np.maximum(np.diag(spread), np.finfo(float).tiny)))
+        along = np.where(constant, 0.0, product - total * level) / size
+        weights = np.linalg.solve(n * spread / np.outer(size, size) + alpha * np.eye(len(size)), along) / size / scale
+        yield float(base + level - (mean * scale + shift) @ weights), weights
+
+
+def predict_models(features: DataFrame, models: DataFrame, names: list[str] | None = None, keys=("series",)) -> DataFrame:
+    """Rows of modelled groups with ``predicted``, once per stored model of the group; needs distinct days per group."""
     kept = [c for c in features.columns if c != "family"]
     own = features.select(*kept, F.array(*[F.col(n).cast("double") for n in (names or feature_names())]).alias("_x"))
     kind = ", ".join(f"`{c}` {features.schema[c].dataType.simpleString()}" for c in kept)
@@ -261,8 +331,8 @@ def predict_models(features: DataFrame, models: DataFrame, names: list[str] | No
             rows[kept].assign(family=m.family, predicted=_applied(_restored(m), x)) for m in stored.itertuples()
         ])
 
-    left, right = _spread(own, ["series"]), _spread(models, ["series"])
-    return left.groupBy("series").cogroup(right.groupBy("series")).applyInPandas(apply, f"{kind}, family string, predicted double")
+    left, right = _spread(own, keys), _spread(models, keys)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(apply, f"{kind}, family string, predicted double")
 
 
 def held_out_predictions(rows: DataFrame, jobs, keys=("series",), names: list[str] | None = None) -> DataFrame:

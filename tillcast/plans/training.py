@@ -94,7 +94,7 @@ def retrain(
     activity = materialise(daily_activity(known), "activity")
     n_transactions = activity.where(F.col("series") == "overall").agg(F.sum("n_lines")).first()[0]
     if not n_transactions:
-        raise IngestionError("no transactions available to train on")
+        raise IngestionError("nothing to train on: no clean line up to the given day")
     top = top_countries(as_transactions(activity), top_n, labels=labels)
     series = round_revenue(densify(keep_series(activity, top)))
     supervised = materialise(build_supervised(series), "supervised")
