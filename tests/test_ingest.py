@@ -116,3 +116,35 @@ def test_text_behind_the_array_makes_a_file_unreadable(spark):
     rows = parse_exports(spark.createDataFrame([(t, n) for n, t in texts.items()], "value string, source_file string"))
     found = {r.source_file: r.file_status for r in file_outcomes(rows).collect()}
     assert found == {n: "loaded" if n in ("good", "two", "strings") else "unreadable" for n in texts}
+
+
+def test_files_cut_anywhere_read_like_whole_ones(spark, tmp_path):
+    from tillcast.sources.invoices import file_outcomes, read_exports
+
+    odd = {**LINE, "country": 'a "} \\ [{', "more": {"x": [{"y": "}"}, {}]}}
+    texts = {
+        "invoices-a.json": json.dumps([{**odd, "invoice": str(k)} for k in range(40)], indent=1), "invoices-b.json": json.dumps([7, odd, "}", [1]]),
+        "invoices-c.json": json.dumps([odd]) + "}", "invoices-d.json": " ", "invoices-e.json": json.dumps([odd, odd])[:-1] + ",]",
+        "invoices-f.json": json.dumps([odd]) * 2, "invoices-g.json": json.dumps([odd, 5]).replace("}, 5", "} 5"), "invoices-h.json": "[{}]",
+        "invoices-i.json": "]", "invoices-j.json": "[",
+    }
+    export(tmp_path, "invoices-k.json", "")  # a file of no bytes is not listed
+    for name, text in texts.items():
+        export(tmp_path, name, text)
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = {}
+    try:
+        for size in (kept, "997b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0" if size == "997b" else "4m")
+            rows = read_exports(spark, str(tmp_path))
+            found[size] = sorted(map(str, rows.collect()))
+            outcomes = dict(map(tuple, file_outcomes(rows).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+        spark.conf.set("spark.sql.files.openCostInBytes", "4m")
+    assert found[kept] == found["997b"]
+    assert len(found[kept]) == 40 + 4 + 1 + len(texts)
+    assert outcomes == {
+        **dict.fromkeys(texts, "unreadable"), "invoices-a.json": "loaded", "invoices-b.json": "loaded", "invoices-h.json": "missing_columns",
+    }
