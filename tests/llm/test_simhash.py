@@ -104,6 +104,17 @@ def test_keep_one(spark, docs_of):
     assert [r.text for r in rows if r.doc_id is None] == ["lone null"]
 
 
+def test_keep_one_tells_classes_without_own_key_apart(spark, docs_of):
+    def words(name):
+        return " ".join(f"{name}{i}" for i in range(50))
+
+    texts = [words("a"), words("b"), words("c"), words("c"), words("d"), words("e"), words("f"), words("f")]
+    docs = docs_of(texts, [None, None, None, None, 5, 5, None, 8])
+    kept = [(r.doc_id, r.text) for r in s.keep_one(docs).collect()]
+    wanted = [(None, words("a")), (None, words("b")), (None, words("c")), (5, words("d")), (5, words("e")), (8, words("f"))]
+    assert sorted(kept, key=lambda x: x[1]) == wanted
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(None, 3), (5, 5)]
     found = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}

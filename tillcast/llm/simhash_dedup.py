@@ -218,16 +218,17 @@ def _joined(rows: DataFrame, budget: int, full: int) -> DataFrame:
 
 
 def duplicate_classes(prints: DataFrame, key: str = "doc_id", name: str = "fingerprint") -> DataFrame:
-    """(fingerprint, component_id): for each distinct fingerprint the smallest key that its links reach.
+    """(fingerprint, component, component_id) for each distinct fingerprint: its class, and the smallest key in it.
 
-    ``prints`` has a row for each document. A null key never stands for a class that has another.
+    ``prints`` has a row for each document. A null key never stands for a class that has another. Only ``component``
+    tells classes apart: those without a key share the null, and a key on several rows may stand for several.
     """
     classes = materialise(prints.groupBy(name).agg(F.min(key).alias("least")), "fingerprints")
     nodes = connected_components(fingerprint_links(classes, name))
     linked = classes.join(nodes.withColumnRenamed("node", name), name, "left")
     linked = linked.withColumn("component", F.coalesce("component", name))
     roots = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    return linked.join(roots, "component").select(name, "component_id")
+    return linked.join(roots, "component").select(name, "component", "component_id")
 
 
 def near_duplicates(docs: DataFrame, column: str = "text", key: str = "doc_id") -> DataFrame:
@@ -243,17 +244,19 @@ def near_duplicates(docs: DataFrame, column: str = "text", key: str = "doc_id")
 def keep_one(docs: DataFrame, column: str = "text", key: str = "doc_id") -> DataFrame:
     """The row of smallest key of each class of near-duplicates, with the columns of ``docs``.
 
-    Of rows with that same key one stays, the first by text. Rows whose key is null stay only where no row of
-    their class has a key, then too only one of each fingerprint.
+    Of rows with that same key one of the smallest fingerprint stays. A row whose key is null stays only where no
+    row of its class has a key.
     """
     columns = docs.columns
     own = [f"_{i}" for i in range(len(columns))]
     k, text = own[columns.index(key)], own[columns.index(column)]
     marked = materialise(add_fingerprints(docs.toDF(*own), text), "marked")
-    classes = duplicate_classes(marked.select(F.col(k).alias("key"), "fingerprint"), "key")
-    chosen = marked.select(F.col(k).alias("key"), "fingerprint").distinct().join(classes, "fingerprint").where(F.col("key").eqNullSafe(F.col("component_id")))
-    # a key may have several texts of the class: the smallest fingerprint of them stays
-    chosen = chosen.groupBy("key", "component_id").agg(F.min("fingerprint").alias("fp")).select("key", "fp")
+    prints = marked.select(F.col(k).alias("key"), "fingerprint")
+    classes = duplicate_classes(prints, "key").select("fingerprint", "component")
+    # nulls come last; a key may have several texts of the class: the smallest fingerprint of them stays
+    least = prints.groupBy("fingerprint").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key")).alias("x"))
+    chosen = least.join(classes, "fingerprint").groupBy("component").agg(F.min(F.struct("x", "fingerprint")).alias("first"))
+    chosen = chosen.select(F.col("first.x.key").alias("key"), F.col("first.fingerprint").alias("fp"))
     rows = marked.join(chosen, marked[k].eqNullSafe(chosen["key"]) & (marked["fingerprint"] == chosen["fp"]))
     copies = chosen_twice(rows, k)
     return copies.select(*[F.col(o).alias(c) for o, c in zip(own, columns)])
