@@ -50,6 +50,26 @@ def test_several_axes(spark):
     assert np.mean([(r.n_links, r.component_id) == wanted[r.vec_id] for r in found]) > 0.95
 
 
+def pairs(n, d=64, cosine=0.9301, seed=5):
+    rng = np.random.default_rng(seed)
+    a, b = rng.normal(size=(2, n, d))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    return a, cosine * a + np.sqrt(1 - cosine**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("bucket, axes", [(1.0, 2), (0.01, 3)])
+def test_hot_label_keeps_its_links(spark, bucket, axes):
+    settings = v.Settings(bucket=bucket)
+    a, b = pairs(600)
+    assert settings.axes(2 * len(a), 64) == axes and settings.of(axes).tables == 8 << axes - 1
+    rows = [(2 * i + side, x.tolist(), "hot") for i, both in enumerate(zip(a, b)) for side, x in enumerate(both)]
+    rows += [(5000 + i, x.tolist(), "few") for i, x in enumerate((a[0], b[0], a[1]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(4)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in v.near_duplicate_vectors(df, settings=settings).collect()}
+    assert found == {i: (1, i // 2 * 2) for i in range(1200)} | {5000: (1, 5000), 5001: (1, 5000), 5002: (0, 5002)}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int, extra string")
     assert v.near_duplicate_vectors(df).count() == 0

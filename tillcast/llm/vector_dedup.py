@@ -9,7 +9,7 @@ where they meet. Equal vectors are one class; large buckets are joined in blocks
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,8 +24,8 @@ SIGNS_SEED = 20_240_611
 
 @dataclass(frozen=True)
 class Settings:
-    """``tables``: independent hashes. ``probes``: buckets visited in each, the home not counted. ``block``: classes
-    of a bucket that are compared at once; a larger bucket is cut into blocks, none is left out.
+    """``tables``: independent hashes of one axis. ``probes``: buckets visited in each, the home not counted. ``block``:
+    classes of a bucket that are compared at once; a larger bucket is cut into blocks, none is left out.
     ``bucket``: wanted classes in a bucket, which sets how many axes make a hash."""
 
     least: float = 0.93
@@ -34,6 +34,18 @@ class Settings:
     block: int = 1_024
     bucket: int = 64
 
+    def axes(self, classes: int, d: int) -> int:
+        """Axes of a hash for a group of so many classes of ``d`` numbers."""
+        width = 1 << max(1, (d - 1).bit_length())
+        axes = 1
+        while classes / (2 * width) ** axes > self.bucket and (2 * width) ** (axes + 1) < 1 << 62:
+            axes += 1
+        return axes
+
+    def of(self, axes: int) -> Settings:
+        """Each further axis makes it rarer that two near vectors meet in a table, so it doubles the tables."""
+        return replace(self, tables=self.tables << axes - 1)
+
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
     """Fast Walsh-Hadamard transform of each row, scaled to keep lengths."""
@@ -90,35 +102,31 @@ def vector_links(classes: DataFrame, settings: Settings = Settings()) -> DataFra
     Rows (cid, other, n): n vectors that a class is linked to beyond its own, ``other`` null, or a link (n 0) of a
     spanning forest. Vectors of different length never meet.
     """
-    largest = classes.groupBy("label", F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n")).first()
-    n, d = (largest.n, largest.d) if largest else (0, 1)
-    width = 1 << max(1, (d - 1).bit_length())
-    axes = 1
-    while n / (2 * width) ** axes > settings.bucket and (2 * width) ** (axes + 1) < 1 << 62:
-        axes += 1
-    tables, probes, block = settings.tables, settings.probes, settings.block
+    classes = classes.withColumn("label", F.col("label").cast("string"))
+    groups = classes.groupBy("label", F.size("vector").alias("d")).agg(F.count("*").alias("n"))
+    large = groups.where(F.col("n") > 2 * F.col("d") * settings.bucket)  # others have one axis
+    axes = {(r.label, r.d): a for r in large.collect() if (a := settings.axes(r.n, r.d)) > 1}
+    probes, block = settings.probes, settings.block
 
     def hashed(frames):
         import pandas as pd
 
         for frame in frames:
             sizes = frame["vector"].map(len)
-            for _, same in frame.groupby(sizes, sort=False):
+            many = pd.Series([axes.get(group, 1) for group in zip(frame["label"], sizes)], frame.index, int)
+            for (_, a), same in frame.groupby([sizes, many], sort=False):
                 x = np.stack(same["vector"].to_numpy()).astype(np.float64)
                 unit = _unit(x)
-                home, visits = codes(unit, settings, axes)
+                home, visits = codes(unit, settings.of(a), a)
                 yield pd.DataFrame({
-                    "cid": same["cid"].to_numpy(), "label": same["label"].astype(str).to_numpy(), "weight": same["weight"].to_numpy(),
+                    "cid": same["cid"].to_numpy(), "label": same["label"].to_numpy(), "weight": same["weight"].to_numpy(),
                     "vector": list(x), "home": list(home), "visits": list(visits.reshape(len(home), -1)),
                 })
 
     dealt = classes.mapInPandas(hashed, "cid long, label string, weight long, vector array<double>, home array<long>, visits array<long>")
     dealt = materialise(dealt, "vector-hashes")
-    at = F.array(*[F.struct(F.lit(t).alias("t"), F.element_at("home", t + 1).alias("bucket"), F.lit(True).alias("own")) for t in range(tables)])
-    away = F.array(*[
-        F.struct(F.lit(t).alias("t"), F.element_at("visits", t * probes + p + 1).alias("bucket"), F.lit(False).alias("own"))
-        for t in range(tables) for p in range(probes)
-    ])
+    at = F.transform("home", lambda x, i: F.struct(i.alias("t"), x.alias("bucket"), F.lit(True).alias("own")))
+    away = F.transform("visits", lambda x, i: F.struct(F.floor(i / probes).cast("int").alias("t"), x.alias("bucket"), F.lit(False).alias("own")))
     keys = ["label", "d", "t", "bucket"]
     meet = dealt.select("cid", "label", F.size("vector").alias("d"), F.explode(F.concat(at, away)).alias("x")).select("cid", "label", "d", "x.*")
     sizes = meet.groupBy(*keys).agg(F.count("*").alias("size"), F.max("own").alias("homes"))
@@ -178,7 +186,7 @@ def _count_links(group, settings: Settings, counts: dict, edges: set) -> None:
         return
     t, bucket = int(group["t"].iat[0]), int(group["bucket"].iat[0])
     home = np.stack(group["home"].to_numpy())
-    visits = np.stack(group["visits"].to_numpy()).reshape(len(home), settings.tables, settings.probes)
+    visits = np.stack(group["visits"].to_numpy()).reshape(*home.shape, settings.probes)
     ha, hb = home[a], home[b]
     to_a = (ha == hb) | (visits[b] == ha[:, :, None]).any(2)  # they meet where a is at home
     to_b = (ha == hb) | (visits[a] == hb[:, :, None]).any(2)
