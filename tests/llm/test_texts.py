@@ -110,6 +110,24 @@ def test_licenses(docs_of):
     assert rows[0].notices[0].wording == "exact" and rows[len(texts) - 1].notices[-1].wording == "changed"
 
 
+def test_all_notices_of_a_text(docs_of):
+    filler = " ".join(f"word{i}" for i in range(200))
+    bsd = license_scan.TEMPLATES["BSD-3-Clause"]
+    texts = [
+        f"{filler} Released under the MIT License. {filler}",
+        "Licensed under the Apache License, Version 2.0. Released under the MIT License.",
+        f"{filler}\n\n{bsd.replace(' 1. ', '\n\n1. ').replace(' 2. ', '\n\n2. ').replace(' 3. ', '\n\n3. ')}\n\n{filler}",
+        f"{filler} {license_scan.TEMPLATES['MPL-2.0'].replace('distributed with', 'shipped along with')} {filler} {bsd.replace('specific prior', 'prior')}",
+    ]
+    rows = {r.doc_id: r for r in license_scan.scan_licenses(docs_of(texts)).collect()}
+    found = [[(n.license, n.wording) for n in rows[i].notices] for i in range(len(texts))]
+    assert found == [
+        [("MIT", "exact")], [("Apache-2.0", "exact"), ("MIT", "exact")], [("BSD-3-Clause", "exact")],
+        [("MPL-2.0", "changed"), ("BSD-3-Clause", "changed")],
+    ]
+    assert rows[0].notices[0].block == "Released under the MIT License"
+
+
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p><article>";</script></head>
 <body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/a">Menu</a></li></ul></nav><!-- <p>no</p> -->
 <div class="cookie-notice">We use cookies</div><article><h1>Head &amp; line</h1><p>First&nbsp;  par<b>a</b>graph
