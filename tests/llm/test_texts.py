@@ -147,6 +147,22 @@ def test_page_without_article():
     assert len([x for x in lines if x.startswith("Some")]) == 10 and "short" in lines and not any("One" in x or "Three" in x for x in lines)
 
 
+def test_page_with_one_very_long_block():
+    body = [f"Ordinary paragraph {i} of the body text. " * 6 for i in range(12)]
+    body.insert(6, "Long block. " * 2_000)
+    page = "<body><div><a href=1>One menu</a></div>" + "".join(f"<p>{x}</p>" for x in body) + "</body>"
+    assert html_text.main_text(page).split("\n") == [x.strip() for x in body]
+
+
+def test_page_with_lists_in_the_middle():
+    body = [f"Ordinary paragraph {i} of the body text. " * 6 for i in range(8)]
+    items = [f"item {i}" for i in range(9)]
+    links = "".join(f"<li><a href={i}>Link number {i}</a></li>" for i in range(9))
+    parts = [f"<p>{x}</p>" for x in body]
+    page = f"<body>{''.join(parts[:3])}<ul>{''.join(f'<li>{x}</li>' for x in items)}</ul>{''.join(parts[3:6])}<ul>{links}</ul>{''.join(parts[6:])}</body>"
+    assert html_text.main_text(page).split("\n") == [x.strip() for x in [*body[:3], *items, *body[3:]]]
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<script>x", "<!--", "</p>", "<nav>only a menu", "&#xFFFFFFF;", '<p class="a'])
 def test_broken_pages(page):
     assert isinstance(html_text.main_text(page), str)

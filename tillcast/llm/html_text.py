@@ -16,10 +16,9 @@ from pyspark.sql import types as T
 
 from tillcast.llm.common import add_columns
 
-#: Lines of a window; a window's length that counts as a surge, and the share of the highest one.
+#: Lines of a window; a window's length that counts as a surge.
 WINDOW = 3
 SURGE_CHARS = 80
-SURGE_SHARE = 0.15
 
 # Elements by their role in a page, and words in class, id or role that mark what is no article.
 SILENT = "script style template noscript iframe object svg math textarea select head title canvas audio video"
@@ -140,14 +139,10 @@ def main_text(page: str | None) -> str:
         return ""
     inside = np.array([x[2] for x in lines])
     if inside.any():
-        size = np.where(inside, [len(x[0]) for x in lines], 0)
-        first, last = _surge_and_dive(size, 1)
-        return "\n".join(x[0] for x, own in zip(lines[first:last], inside[first:last]) if own)
+        return "\n".join(x[0] for x, own in zip(lines, inside) if own)
     # links weigh against a line: a menu is all links
-    size = np.array([max(0, len(x[0]) - 2 * x[1]) for x in lines])
-    sums = _window_sums(size)
-    first, last = _surge_and_dive(size, max(1, min(SURGE_CHARS, int(sums.max())), int(SURGE_SHARE * sums.max())))
-    return "\n".join(x[0] for x in lines[first:last])
+    kept = _surge_to_dive(np.array([max(0, len(x[0]) - 2 * x[1]) for x in lines]))
+    return "\n".join(x[0] for x, own in zip(lines, kept) if own)
 
 
 def _window_sums(size: np.ndarray) -> np.ndarray:
@@ -157,21 +152,23 @@ def _window_sums(size: np.ndarray) -> np.ndarray:
     return total[WINDOW:] - total[:-WINDOW]
 
 
-def _surge_and_dive(size: np.ndarray, least: int) -> tuple[int, int]:
-    """First line, and the one past the last, of the stretch of highest total whose window sums stay high.
+def _surge_to_dive(size: np.ndarray) -> np.ndarray:
+    """Whether each line is kept: those of every stretch whose window sums stay high, and what has text between them.
 
-    A window sum belongs to its middle line; lines without own text are trimmed from both ends. With a limit of
-    one character the stretch runs from the first line that has text to the last.
+    A window sum belongs to its middle line; lines without own text are trimmed from both ends of a stretch. The
+    limit does not depend on the longest lines; a page whose sums are all below it has its highest sum as limit.
     """
-    if least <= 1:
-        full = np.flatnonzero(size)
-        return (int(full[0]), int(full[-1]) + 1) if len(full) else (0, 0)
     sums = _window_sums(size)
-    high = np.flatnonzero(np.diff(np.concatenate(([0], (sums >= least).astype(np.int8), [0])))).reshape(-1, 2)
-    total = np.concatenate(([0], size.cumsum()))
-    best = max(high.tolist(), key=lambda s: total[s[1]] - total[s[0]], default=[0, 0])
-    full = np.flatnonzero(size[best[0]:best[1]])
-    return (best[0] + int(full[0]), best[0] + int(full[-1]) + 1) if len(full) else (0, 0)
+    kept = np.zeros(len(size), bool)
+    high = sums >= max(1, min(SURGE_CHARS, int(sums.max())))
+    for first, last in np.flatnonzero(np.diff(np.concatenate(([0], high.astype(np.int8), [0])))).reshape(-1, 2).tolist():
+        full = np.flatnonzero(size[first:last])
+        if len(full):
+            kept[first + full[0]:first + full[-1] + 1] = True
+    ends = np.flatnonzero(kept)
+    if len(ends):
+        kept[ends[0]:ends[-1]] |= size[ends[0]:ends[-1]] > 0
+    return kept
 
 
 def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:
