@@ -147,6 +147,16 @@ def test_page_without_article():
     assert len([x for x in lines if x.startswith("Some")]) == 10 and "short" in lines and not any("One" in x or "Three" in x for x in lines)
 
 
+def test_body_beside_teaser_articles():
+    body = [f"Ordinary paragraph {i} of the body text. " * 6 for i in range(6)]
+    menu = "".join(f"<div><a href={i}>Menu entry {i}</a></div>" for i in range(5))
+    cards = "".join(f"<article><h3>Card {i}</h3></article>" for i in range(3))
+    page = f"<body>{menu}<div>{''.join(f'<p>{x}</p>' for x in body)}</div>{menu}{cards}{menu}</body>"
+    lines = html_text.main_text(page).split("\n")
+    assert [x for x in lines if not x.startswith("Menu")] == [*(x.strip() for x in body), "Card 0", "Card 1", "Card 2"]
+    assert sum(x.startswith("Menu") for x in lines) < 5
+
+
 def test_page_with_one_very_long_block():
     body = [f"Ordinary paragraph {i} of the body text. " * 6 for i in range(12)]
     body.insert(6, "Long block. " * 2_000)

@@ -19,6 +19,8 @@ from tillcast.llm.common import add_columns
 #: Lines of a window; a window's length that counts as a surge.
 WINDOW = 3
 SURGE_CHARS = 80
+#: What a character inside article or main weighs: each such line surges by itself.
+ARTICLE_WEIGHT = SURGE_CHARS
 
 # Elements by their role in a page, and words in class, id or role that mark what is no article.
 SILENT = "script style template noscript iframe object svg math textarea select head title canvas audio video"
@@ -137,11 +139,8 @@ def main_text(page: str | None) -> str:
     lines = page_lines(page) or page_lines(page, by_marks=False)
     if not lines:
         return ""
-    inside = np.array([x[2] for x in lines])
-    if inside.any():
-        return "\n".join(x[0] for x, own in zip(lines, inside) if own)
-    # links weigh against a line: a menu is all links
-    kept = _surge_to_dive(np.array([max(0, len(x[0]) - 2 * x[1]) for x in lines]))
+    # links weigh against a line outside an article: a menu is all links
+    kept = _surge_to_dive(np.array([ARTICLE_WEIGHT * len(x[0]) if x[2] else max(0, len(x[0]) - 2 * x[1]) for x in lines]))
     return "\n".join(x[0] for x, own in zip(lines, kept) if own)
 
 
