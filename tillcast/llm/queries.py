@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.llm import (
-    bpe, chat_format, decontaminate, html_text, lang_id, license_scan, simhash_dedup, token_store, toxicity, vector_dedup,
+    bpe, chat_format, decontaminate, html_text, lang_id, license_scan, periodic, sharding, simhash_dedup, spelling, sqltext,
+    token_store, toxicity, vector_dedup,
 )
 from tillcast.llm.common import held_out, table
 from tillcast.session import materialise
@@ -145,10 +146,33 @@ def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SHARDS = 40
+
+
+def byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS)
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
+    return found.select("doc_id", "size", crc, F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def periodic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.run_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), stretch=True)
+    return found.drop("text")
+
+
 QUERIES = {
     "op1_language_id": language, "op2_html_text": page_text, "op3_token_files": token_files, "op4_chat_format": chat,
     "op5_toxicity": toxic, "op6_license_scan": licenses, "op7_vector_dedup": vectors, "op8_simhash_dedup": simhash,
-    "op9_word_bpe": word_bpe, "op10_decontamination": benchmark_hits,
+    "op9_word_bpe": word_bpe, "op10_decontamination": benchmark_hits, "op11_byte_shards": byte_shards,
+    "op12_spelling_variants": spelling_variants, "op13_periodic_runs": periodic_words,
 }
 
-ORACLE = {"op4_chat_format": CHAT_SQL, "op7_vector_dedup": VECTORS_SQL}
+ORACLE = {
+    "op4_chat_format": CHAT_SQL, "op7_vector_dedup": VECTORS_SQL, "op11_byte_shards": sqltext.shards(SHARDS),
+    "op12_spelling_variants": sqltext.SPELLING, "op13_periodic_runs": sqltext.PERIODIC,
+}
