@@ -4,9 +4,10 @@ A block holds words of one length, most frequent first. For each (position, lett
 A query word is read letter by letter; the set of words that agree so far and the set of those with one error move on
 together, the latter with the position shifted by one where a letter is inserted or deleted.
 
-Words at one error from each other share their first three or their last three letters (both are of six or more),
-so blocks are made for each (end, three letters, length). A block of more than ``BLOCK`` words is dealt over several
-tasks, and every query of its group visits each part: no pair of words is emitted, only counts and best words.
+Words at one error from each other share their first three or their last three letters (both are of six or more), so
+words are dealt by either end into groups that the vocabulary's size numbers, and a group has a block for each length.
+A block of more than ``BLOCK`` words is dealt over several tasks, and every query of its group visits each part: no pair
+of words is emitted, only counts and best words.
 """
 
 from __future__ import annotations
@@ -28,33 +29,29 @@ LEAST_COUNT = 5
 #: A word's form occurs so many times as often at least; one letter is lost at each run whose hash this number divides.
 RATIO = 5
 LOSS = 199
-#: Letters of the shared end; words of a block; distinct words a task gathers before it passes counts on.
+#: Letters of the shared end; words of a group on average; most words of a block; distinct words a task gathers before it passes counts on.
 ENDS = 3
+GROUP = 4_096
 BLOCK = 8_192
 GATHERED = 200_000
 #: 64-bit words of one bit set table that a step of a search holds.
 STEP_WORDS = 1 << 17
 
-#: Runs of ASCII letters and U+00C0 to U+00FF, in UTF-8 with A-Z lower-cased.
-RUN = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+")
+#: Runs of ASCII letters and U+00C0 to U+00FF, in Latin-1 with A-Z lower-cased: a byte for each letter.
+RUN = re.compile(rb"[a-z\xc0-\xff]{%d,}" % LEAST_LETTERS)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def words_of(key: str, text: str) -> list[bytes]:
-    """The counted words of one text, of ``LEAST_LETTERS`` or more, after the loss of letters."""
+    """The counted words of one text in Latin-1, of ``LEAST_LETTERS`` or more, after the loss of letters."""
     crc, start = zlib.crc32, zlib.crc32(key.encode() + b":")
-    found = []
-    for w in RUN.findall(text.encode("utf-8", "surrogatepass").translate(LOWER)):
-        if len(w) < LEAST_LETTERS:
-            continue
-        h = crc(w, start)
-        if h % LOSS == 0:
-            letters = w.decode()
-            at = h % len(letters)
-            w = (letters[:at] + letters[at + 1:]).encode()
-        if len(w) - w.count(b"\xc3") >= LEAST_LETTERS:
-            found.append(w)
-    return found
+    found = RUN.findall(text.encode("latin-1", "replace").translate(LOWER))
+    hashes = [crc(w if w.isascii() else w.decode("latin-1").encode(), start) for w in found]
+    lost = [i for i, h in enumerate(hashes) if not h % LOSS]
+    for i in lost:
+        w, at = found[i], hashes[i] % len(found[i])
+        found[i] = w[:at] + w[at + 1:]
+    return [w for w in found if len(w) >= LEAST_LETTERS] if lost else found
 
 
 def vocabulary(docs: DataFrame, key: str = "doc_id", column: str = "text", least: int = LEAST_COUNT) -> DataFrame:
@@ -66,7 +63,7 @@ def vocabulary(docs: DataFrame, key: str = "doc_id", column: str = "text", least
 
         def rows():
             batch = pa.RecordBatch.from_arrays(
-                [pa.array([w.decode() for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"],
+                [pa.array([w.decode("latin-1") for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"],
             )
             counts.clear()
             return batch
@@ -113,7 +110,7 @@ class PositionIndex:
     def near(self, letters: np.ndarray, beyond_start: bool) -> np.ndarray:
         """A row of bits for each query (all of one length): its words at exactly one error.
 
-        ``beyond_start`` leaves out words that have the query's first ``ENDS`` letters: the blocks of equal starts hold those.
+        ``beyond_start`` leaves out words that have the query's first ``ENDS`` letters, and without it only those count: a pair is found once.
         """
         shift = self.length - letters.shape[1]
         exact = np.broadcast_to(self.all, (len(letters), self.width))
@@ -132,7 +129,7 @@ class PositionIndex:
                 start = exact
         if shift == 1:
             one = one | exact  # one more letter at the end
-        return one & ~start if beyond_start else one
+        return one & (~start if beyond_start else start)
 
 
 def _letters(words: list[str]) -> np.ndarray:
@@ -154,7 +151,7 @@ def search(index: PositionIndex, words: list[str], beyond_start: bool) -> tuple[
 
 
 def _search_groups(batches):
-    """Rows sorted by (side, ends, length, part, indexed first, n downwards, word): builds each index, then streams its queries."""
+    """Rows sorted by (side, group, length, part, indexed first, n downwards, word): builds each index, then streams its queries."""
     at, index, kept, counts = None, None, [], []
 
     def finish(words):
@@ -169,8 +166,7 @@ def _search_groups(batches):
     for batch in batches:
         cols = [batch.column(i).to_pylist() for i in range(7)]
         waiting: list[str] = []
-        for side, ends, length, part, query, n, word in zip(*cols):
-            group = (side, ends, length, part)
+        for *group, query, n, word in zip(*cols):
             if group != at or (waiting and len(word) != len(waiting[0])):
                 if waiting:
                     yield finish(waiting)
@@ -195,19 +191,16 @@ def near_words(words: DataFrame, block: int = BLOCK) -> DataFrame:
     Words of fewer than twice ``ENDS`` letters are not searched: they may share no end with a near word.
     """
     spark = words.sparkSession
-    length = F.length("word")
-    sides = F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.substring("word", 1, ENDS).alias("ends")),
-        F.struct(F.lit(1).alias("side"), F.substring("word", -ENDS, ENDS).alias("ends")),
-    ))
-    long = words.where(length >= 2 * ENDS).select("word", "n", length.alias("own"), sides.alias("s")).select("word", "n", "own", "s.*")
-    groups = long.groupBy("side", "ends", F.col("own").alias("length")).agg(F.count("*").alias("size"))
-    groups = groups.withColumn("parts", F.ceil(F.col("size") / block).cast("int")).drop("size")
-    indexed = long.select("side", "ends", F.col("own").alias("length"), "n", "word")
-    asking = long.select("side", "ends", F.explode(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1)).alias("length"), "n", "word")
-    keys = ["side", "ends", "length"]
-    dealt = indexed.join(groups, keys).select(*keys, F.pmod(F.xxhash64("word"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("query"), "n", "word")
-    asked = asking.join(groups, keys).select(*keys, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("query"), "n", "word")
+    own, groups = F.length("word"), max(1, words.count() // GROUP)
+    sides = [(0, F.substring("word", 1, ENDS)), (1, F.substring("word", -ENDS, ENDS))]
+    sides = F.explode(F.array(*(F.struct(F.lit(i).alias("side"), F.pmod(F.xxhash64(e), F.lit(groups)).alias("group")) for i, e in sides)))
+    long = words.where(own >= 2 * ENDS).select("word", "n", own.alias("own"), sides.alias("s")).select("word", "n", "own", "s.*")
+    keys = ["side", "group", "length"]
+    sizes = long.groupBy("side", "group", F.col("own").alias("length")).agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    indexed = long.withColumnRenamed("own", "length").join(sizes, keys)
+    asking = long.withColumn("length", F.explode(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1))).join(sizes, keys)
+    dealt = indexed.select(*keys, F.pmod(F.xxhash64("word"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("query"), "n", "word")
+    asked = asking.select(*keys, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("query"), "n", "word")
     # The rows of a task stay sorted by group, so one index is held at a time; queries of one length follow each other.
     tasks = dealt.unionByName(asked).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, "part")
     tasks = tasks.sortWithinPartitions(*keys, "part", "query", F.when(F.col("query"), F.length("word")), F.desc("n"), "word")
