@@ -16,6 +16,7 @@ from tillcast.operators import daily as D
 from tillcast.operators import drift as DR
 from tillcast.operators import evaluation as EV
 from tillcast.operators import forecast as FC
+from tillcast.operators import ridge as R
 from tillcast.operators import supervised as SV
 from tillcast.plans import comparison, scoring, training
 from tillcast.plans.backtest import rolling_origin_backtest
@@ -372,6 +373,44 @@ def _learned(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
     return comparison.holdout_predictions(_rows(spark, sf_dir), LEARNED_SETTINGS, (family,))
 
 
+SUMMED = R.multiples(NAMES)[0]
+PAIRS = [(a, b) for i, a in enumerate(SUMMED) for b in SUMMED[i + 1:]]
+
+
+@query("ridge_gram", f"""WITH {S.SUPERVISED},
+sums AS (SELECT series, count(*) AS n, avg(target) AS y_mean,
+  [{", ".join(f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))" for a, b in PAIRS)}] AS r,
+  [{", ".join(f"corr(CAST({a} AS DOUBLE), target)" for a in SUMMED)}] AS ry,
+  [{", ".join(f"var_pop(CAST({a} AS DOUBLE)) > 0" for a in SUMMED)}] AS moves FROM supervised GROUP BY series)
+SELECT series, CAST(n AS BIGINT) AS n, round(y_mean, 2) AS y_mean,
+  array_to_string(list_transform(r, lambda x: CASE WHEN isfinite(x) THEN CAST(CAST(round(x * 10000) AS BIGINT) AS VARCHAR) ELSE '-' END), ',') AS between_features,
+  array_to_string(list_transform(ry, lambda x: CASE WHEN isfinite(x) THEN CAST(CAST(round(x * 10000) AS BIGINT) AS VARCHAR) ELSE '-' END), ',') AS with_target
+FROM sums""")
+def ridge_gram(spark, sf_dir):
+    """The sums of the normal equations of every series, as correlations in ten-thousandths; '-' where a feature is constant."""
+    rows = _rows(spark, sf_dir)
+    sums = R.moments(rows).join(rows.groupBy("series").agg(F.stddev_pop(SV.TARGET).alias("y_dev")), "series")
+    spread = F.transform("products", lambda row, i: F.when(~F.get("constant", i), F.sqrt(F.get(row, i))))
+    sums = sums.withColumn("spread", spread)
+    share = lambda product, scale: F.coalesce(F.round(product / scale * 10000).cast("bigint").cast("string"), F.lit("-"))
+    between = F.flatten(F.transform("products", lambda row, i: F.transform(
+        F.slice(row, i + 2, F.lit(len(SUMMED))), lambda p, j: share(p, F.get("spread", i) * F.get("spread", i + j + 1)))))
+    along = F.transform("with_target", lambda p, i: share(p, F.get("spread", i) * F.col("y_dev") * F.sqrt("n")))
+    return shown(sums.select(
+        "series", "n", "y_mean", F.array_join(between, ",").alias("between_features"), F.array_join(along, ",").alias("with_target"),
+    ), y_mean=2)
+
+
+@query("ridge_residual", f"""WITH {S.SPLIT}
+SELECT series, feature, 10.0::DOUBLE AS alpha, 0.0::DOUBLE AS residual
+FROM (SELECT DISTINCT series FROM split WHERE role = 'train'), (SELECT unnest(['intercept', {", ".join(f"'{n}'" for n in NAMES)}]) AS feature)""")
+def ridge_residual(spark, sf_dir):
+    """What the fitted ridges leave of their normal equations on the training rows: nothing, in every feature."""
+    train = materialise(holdout(spark, sf_dir).where(F.col("role") == "train"), "train")
+    left = R.gradients(train, R.fit_ridge(train, [LEARNED_SETTINGS["ridge"]["alpha"]]))
+    return left.select("series", "feature", "alpha", F.abs(F.round("residual", 7)).alias("residual"))
+
+
 @query("ridge_forecast")
 def ridge_forecast(spark, sf_dir):
     return _learned(spark, sf_dir, "ridge")

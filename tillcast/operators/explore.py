@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillcast.constants import DAILY_METRICS, HOME_MARKET, NON_MARKET_LABELS, OVERALL, TOP_MARKETS
 from tillcast.functions.quantiles import exact_quantiles
 from tillcast.operators.markets import revenue_by_country, top_countries
-from tillcast.operators.supervised import by_day
+from tillcast.operators.supervised import by_day, span_sum
 
 # Year-end gap, start of full coverage, first day of the weekday statistics.
 GAP_YEARS = (2017, 2018)
@@ -30,9 +30,9 @@ def month_of(date: str = "date") -> Column:
 
 def rolling_mean(series: DataFrame, days: int = 30, min_days: int = 7) -> DataFrame:
     """Mean revenue of the last ``days`` days, from ``min_days`` days on."""
-    frame = by_day().rowsBetween(1 - days, 0)
-    enough = F.row_number().over(by_day()) >= min_days
-    return series.select("series", "date", "revenue", F.when(enough, F.avg("revenue").over(frame)).alias("rolling_mean"))
+    row = F.row_number().over(by_day())
+    mean = span_sum("revenue", 1 - days, 0) / F.least(row, F.lit(days))
+    return series.select("series", "date", "revenue", F.when(row >= min_days, mean).alias("rolling_mean"))
 
 
 def gap_windows(years=GAP_YEARS) -> list[tuple[str, str]]:
@@ -148,9 +148,8 @@ def weekend_medians(series: DataFrame, since: str = WEEKDAYS_FROM) -> DataFrame:
 
 def comoving_index(series: DataFrame, metrics=("revenue", "purchases", "total_views"), days: int = 7) -> DataFrame:
     """Full ``days``-day rolling means, each as a percentage of its own average."""
-    frame = by_day().rowsBetween(1 - days, 0)
     rolled = series.select("series", "date", F.row_number().over(by_day()).alias("_n"), *[
-        F.avg(F.col(m).cast("double")).over(frame).alias(m) for m in metrics
+        (span_sum(m, 1 - days, 0) / days).alias(m) for m in metrics
     ]).where(F.col("_n") >= days).drop("_n")
     whole = by_day().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return rolled.select("series", "date", *[(F.col(m) / F.avg(m).over(whole) * 100).alias(f"{m}_index") for m in metrics])

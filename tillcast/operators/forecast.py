@@ -7,13 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.constants import MODEL_SEED
+from tillcast.operators.ridge import doubles, fit_ridge, ridge_prediction
 from tillcast.operators.supervised import TARGET, feature_names
 from tillcast.operators.trees import Trees, fit_boosted, fit_forest
 
@@ -44,10 +42,7 @@ GRIDS = {
 DEFAULT_FAMILY = "gbt"
 DEFAULT_PARAMETERS = {"max_depth": 3, "learning_rate": 0.1, "max_iter": 100}
 
-# MLlib limits and stand-ins: deepest tree, depth used for "no limit" in the leaf-wise grid,
-# smallest leaf of the boosted learners.
-DEEPEST = 30
-OPEN_DEPTH = 6
+# Smallest leaf of the boosted learners.
 BOOSTED_LEAF = 20
 # Leaves of a boosted tree when the parameters name none.
 OPEN_LEAVES = 31
@@ -72,10 +67,7 @@ def baseline_predictions(features: DataFrame, models=BASELINES) -> DataFrame:
     ).select("series", "date", "_s.model", "actual", "_s.predicted")
 
 
-# --- ridge: all groups in one job ---------------------------------------------------------------
-
-RIDGE_SCHEMA = "alpha double, n_train bigint, intercept double, weights array<double>"
-
+# --- ridge in memory: the prefixes of one series ---------------------------------------------------
 
 def _ridge_weights(x: np.ndarray, y: np.ndarray, alpha: float) -> tuple[float, np.ndarray]:
     """Ridge on standardised features, given back on the original scale."""
@@ -86,87 +78,12 @@ def _ridge_weights(x: np.ndarray, y: np.ndarray, alpha: float) -> tuple[float, n
     return float(y.mean() - centre @ w), w
 
 
-def fit_ridge(train: DataFrame, alphas, keys=("series",), names: list[str] | None = None) -> DataFrame:
-    """One row of weights per group and alpha.
-
-    Groups are (series, fold or origin): at most one row per calendar day each.
-    """
-    names = names or feature_names()
-    keys = list(keys)
-    alphas = [float(a) for a in alphas]
-    kinds = ", ".join(f"{k} {train.schema[k].dataType.simpleString()}" for k in keys)
-    packed = train.select(*keys, F.array(*[F.col(n).cast("double") for n in names]).alias("_x"), F.col(TARGET).alias("_y"))
-
-    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        x, y = np.stack(rows["_x"].to_numpy()), rows["_y"].to_numpy(dtype=float)
-        fitted = [(*key, a, len(y), *_ridge_weights(x, y, a)) for a in alphas]
-        return pd.DataFrame(fitted, columns=[*keys, "alpha", "n_train", "intercept", "weights"])
-
-    return packed.groupBy(*keys).applyInPandas(fit, f"{kinds}, {RIDGE_SCHEMA}")
-
-
-def ridge_prediction(names: list[str] | None = None) -> Column:
-    """Prediction from columns ``intercept`` and ``weights`` next to the features; stays in the JVM."""
-    features = F.array(*[F.col(n).cast("double") for n in (names or feature_names())])
-    products = F.zip_with(features, F.col("weights"), lambda x, w: x * w)
-    return F.col("intercept") + F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
-
-
-def predict_ridge(features: DataFrame, weights: DataFrame, keys=("series",), names=None) -> DataFrame:
-    joined = features.join(weights, list(keys))
-    return joined.withColumn("predicted", ridge_prediction(names)).drop("intercept", "weights", "n_train")
-
-
-# --- MLlib estimators, for one series too long for a task -------------------------------------------------------------------------
+# --- families ---------------------------------------------------------------------------------------
 
 def family_name(name: str) -> str:
     return FAMILY_SYNONYMS.get(name, name)
 
 
-def ridge_reg_param(alpha: float, n: int, target_std: float) -> float:
-    """MLlib scales the target by its sample deviation; this makes the penalty equal ``alpha``."""
-    return alpha * target_std * (n - 1) / (n * n)
-
-
-def make_estimator(name: str, hp: dict, names: list[str] | None = None, n: int = 0, target_std: float = 0.0) -> Pipeline:
-    """Pipeline of a learned family. Ridge also needs the training size and target deviation."""
-    names = names or feature_names()
-    name = family_name(name)
-    assembler = VectorAssembler(inputCols=names, outputCol="features")
-    common = {"featuresCol": "features", "labelCol": TARGET, "predictionCol": "predicted"}
-    if name == "ridge":
-        scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-        model = LinearRegression(
-            featuresCol="scaled", labelCol=TARGET, predictionCol="predicted", solver="normal", elasticNetParam=0.0,
-            standardization=False, regParam=ridge_reg_param(hp.get("alpha", 1.0), n, target_std),
-        )
-        return Pipeline(stages=[assembler, scaler, model])
-    if name == "random_forest":
-        model = RandomForestRegressor(
-            numTrees=hp.get("n_estimators", 100), maxDepth=hp.get("max_depth") or DEEPEST, seed=MODEL_SEED,
-            minInstancesPerNode=hp.get("min_samples_leaf", 1), featureSubsetStrategy="all", **common,
-        )
-    elif name in ("gbt", "gbt_leafwise"):
-        depth = hp.get("max_depth") or OPEN_DEPTH
-        model = GBTRegressor(
-            maxDepth=depth if depth > 0 else OPEN_DEPTH, stepSize=hp.get("learning_rate", 0.1),
-            maxIter=hp.get("max_iter", hp.get("n_estimators", 100)), maxBins=255, minInstancesPerNode=BOOSTED_LEAF,
-            featureSubsetStrategy="all", seed=MODEL_SEED, **common,
-        )
-    else:
-        raise ValueError(f"no such model family: {name}")
-    return Pipeline(stages=[assembler, model])
-
-
-def fit_one(train: DataFrame, name: str, hp: dict, names: list[str] | None = None) -> PipelineModel:
-    """Fit on one series. Its rows (one per day) go to one partition, so tree levels need no shuffle."""
-    data = train.select(*(names or feature_names()), TARGET).coalesce(1)
-    size, spread = 0, 0.0
-    if family_name(name) == "ridge":
-        size, spread = data.agg(F.count(F.lit(1)), F.stddev_pop(TARGET)).first()
-    return make_estimator(name, hp, names, size, spread).fit(data)
-
-
 # --- all families, any number of fits: one grouped job ---------------------------------------------
 
 JOB_SCHEMA = "family string, candidate int, parameters string"
@@ -211,7 +128,7 @@ def _spread(frame: DataFrame, keys) -> DataFrame:
 
 
 def _packed(rows: DataFrame, keys, names, extra=()) -> DataFrame:
-    values = F.array(*[F.col(n).cast("double") for n in (names or feature_names())]).alias("_x")
+    values = doubles(names or feature_names()).alias("_x")
     return rows.select(*keys, "date", *extra, F.col(TARGET).cast("double").alias("_y") if TARGET in rows.columns
                        else F.lit(None).cast("double").alias("_y"), values)
 
@@ -226,17 +143,43 @@ def _kinds(frame: DataFrame, keys) -> str:
     return ", ".join(f"{k} {frame.schema[k].dataType.simpleString()}" for k in keys)
 
 
+def _divided(jobs) -> tuple[list, list]:
+    """Jobs of the ridge family, and the others."""
+    ridge = [j for j in jobs if family_name(j[0]) == "ridge"]
+    return ridge, [j for j in jobs if j not in ridge]
+
+
+def _ridge_jobs(train: DataFrame, jobs, keys, names) -> DataFrame:
+    """Weights of every group and ridge job, by normal equations: groups of any length, summed once for all jobs."""
+    alphas = {p: float(json.loads(p).get("alpha", 1.0)) for _, _, p in jobs}
+    fitted = fit_ridge(train, sorted(set(alphas.values())), keys, names)
+    listed = F.array(*[
+        F.struct(F.lit("ridge").alias("family"), F.lit(c).alias("candidate"), F.lit(p).alias("parameters"), F.lit(alphas[p]).alias("_alpha"))
+        for _, c, p in jobs
+    ])
+    rows = fitted.withColumn("_job", F.explode(listed)).where(F.col("_job._alpha") == F.col("alpha"))
+    return rows.select(*keys, "_job.family", "_job.candidate", "_job.parameters", "n_train", "intercept", "weights")
+
+
 def fit_models(train: DataFrame, jobs, keys=("series",), names: list[str] | None = None) -> DataFrame:
-    """One model row per group and job; a group is one series (or a fold of it): one row per calendar day."""
+    """One model row per group and job. Ridges come from sums; any other group is one series (or a fold of it): one row per calendar day."""
+    keys = list(keys)
+    ridge, others = _divided(jobs)
     by = [*keys, "family", "candidate", "parameters"]
-    rows = _spread(_with_jobs(_packed(train, keys, names), jobs), by)
+    parts = []
+    if ridge:
+        rest = [F.lit(None).cast(kind).alias(name) for name, kind in (c.split(" ") for c in MODEL_SCHEMA.split(", ")[3:])]
+        parts.append(_ridge_jobs(train, ridge, keys, names).select("*", *rest))
 
     def fit(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("date")
         model = fit_arrays(_matrix(group["_x"]), group["_y"].to_numpy(float), key[-3], json.loads(key[-1]))
         return pd.DataFrame({i: [v] for i, v in enumerate([*key, len(group), *_stored(model)])})
 
-    return rows.groupBy(*by).applyInPandas(fit, f"{_kinds(train, keys)}, {JOB_SCHEMA}, {MODEL_SCHEMA}")
+    if others:
+        rows = _spread(_with_jobs(_packed(train, keys, names), others), by)
+        parts.append(rows.groupBy(*by).applyInPandas(fit, f"{_kinds(train, keys)}, {JOB_SCHEMA}, {MODEL_SCHEMA}"))
+    return union_all(parts)
 
 
 def _restored(row) -> Trees | tuple[float, np.ndarray]:
@@ -320,7 +263,7 @@ def _ridge_of_prefixes(x: np.ndarray, y: np.ndarray, ends, alpha: float) -> Iter
 def predict_models(features: DataFrame, models: DataFrame, names: list[str] | None = None, keys=("series",)) -> DataFrame:
     """Rows of modelled groups with ``predicted``, once per stored model of the group; needs distinct days per group."""
     kept = [c for c in features.columns if c != "family"]
-    own = features.select(*kept, F.array(*[F.col(n).cast("double") for n in (names or feature_names())]).alias("_x"))
+    own = features.select(*kept, doubles(names or feature_names()).alias("_x"))
     kind = ", ".join(f"`{c}` {features.schema[c].dataType.simpleString()}" for c in kept)
 
     def apply(rows: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
@@ -337,9 +280,15 @@ def predict_models(features: DataFrame, models: DataFrame, names: list[str] | No
 
 def held_out_predictions(rows: DataFrame, jobs, keys=("series",), names: list[str] | None = None) -> DataFrame:
     """Fits each job on the group's rows of role 'train', and predicts those of role 'test'."""
+    keys = list(keys)
+    ridge, others = _divided(jobs)
     by = [*keys, "family", "candidate", "parameters"]
-    dealt = _spread(_with_jobs(_packed(rows, keys, names, ["role"]), jobs), by)
     shape = [*by, "date", "actual", "predicted"]
+    parts = []
+    if ridge:
+        models = _ridge_jobs(rows.where(F.col("role") == "train"), ridge, keys, names)
+        scored = rows.where(F.col("role") == "test").join(models, keys)
+        parts.append(scored.select(*by, "date", F.col(TARGET).cast("double").alias("actual"), ridge_prediction(names).alias("predicted")))
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("date")
@@ -349,7 +298,10 @@ def held_out_predictions(rows: DataFrame, jobs, keys=("series",), names: list[st
         model = fit_arrays(_matrix(train["_x"]), train["_y"].to_numpy(float), key[-3], json.loads(key[-1]))
         return test[[*by, "date"]].assign(actual=test["_y"], predicted=_applied(model, _matrix(test["_x"])))[shape]
 
-    return dealt.groupBy(*by).applyInPandas(run, f"{_kinds(rows, keys)}, {JOB_SCHEMA}, date date, actual double, predicted double")
+    if others:
+        dealt = _spread(_with_jobs(_packed(rows, keys, names, ["role"]), others), by)
+        parts.append(dealt.groupBy(*by).applyInPandas(run, f"{_kinds(rows, keys)}, {JOB_SCHEMA}, date date, actual double, predicted double"))
+    return union_all(parts)
 
 
 def union_all(frames: Iterator[DataFrame]) -> DataFrame:

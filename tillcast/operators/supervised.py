@@ -1,7 +1,9 @@
 """Window features, the forecast target, and time-ordered splits over dense daily series.
 
-All frames share one window (per series, by date), so a feature table costs one sort. A series has
-one row per calendar day, which bounds each window partition by the length of the calendar.
+All frames share one window (per series, by date), so a feature table costs one sort. Every sum over days is a
+difference of two running sums, so a row costs the same however long its frame is. Running sums are exact (whole
+numbers, or units and millionths), so what came before a frame leaves no trace in it. A series has one row per
+calendar day, which bounds each window partition by the length of the calendar.
 """
 
 from __future__ import annotations
@@ -33,18 +35,63 @@ def feature_names(horizon: int = HORIZON_DAYS) -> list[str]:
     ]
 
 
-def _frame_sum(metric: str, first: int, last: int, complete_from: int) -> Column:
+#: Metrics that are no whole numbers; their running sums keep six places of values below the limit, as whole numbers.
+FRACTIONAL = ("revenue",)
+PLACES, LIMIT = 1_000_000, 1e14
+
+
+# The expressions are SQL text: a feature table has hundreds of them, and each call of a column function is a trip to the JVM.
+OVER = "OVER (PARTITION BY series ORDER BY date"
+ROW = f"row_number() {OVER})"
+
+
+def running_sums(metric: str, upto: int) -> list[str]:
+    """Exact sums of all rows up to ``upto`` rows from the current one, as SQL.
+
+    For a fractional metric: whole units, millionths, and how many values do not fit.
+    """
+    values = [f"CAST({metric} AS BIGINT)"]
+    if metric in FRACTIONAL:
+        fit = f"CASE WHEN abs({metric}) < {LIMIT!r}D THEN {metric} END"
+        values = [
+            f"CAST(floor({fit}) AS BIGINT)", f"CAST(round(({fit} - floor({fit})) * {PLACES}) AS BIGINT)",
+            f"CAST({metric} IS NOT NULL AND ({fit}) IS NULL AS BIGINT)",
+        ]
+    last = "CURRENT ROW" if upto == 0 else f"{abs(upto)} {'PRECEDING' if upto < 0 else 'FOLLOWING'}"
+    return [f"coalesce(sum({v}) {OVER} ROWS BETWEEN UNBOUNDED PRECEDING AND {last}), 0L)" for v in values]
+
+
+def between(upto: list[str], before: list[str]) -> str:
+    """The sum of the rows between two running sums; for a fractional metric NaN if a value is not finite or from ``LIMIT`` on."""
+    total = f"({upto[0]} - {before[0]})"
+    if len(upto) == 1:
+        return f"CAST({total} AS DOUBLE)"
+    # Up to 9e15 the scaled sum is exact as a double, and the quotient is the nearest one.
+    rest = f"({upto[1]} - {before[1]})"
+    exact = f"CASE WHEN abs({total}) < 9000000000L THEN CAST({total} * {PLACES}L + {rest} AS DOUBLE) / {PLACES}D ELSE {total} + {rest} / {PLACES}D END"
+    return f"CASE WHEN {upto[2]} > {before[2]} THEN double('NaN') ELSE {exact} END"
+
+
+def _span(metric: str, first: int, last: int) -> str:
+    return between(running_sums(metric, last), running_sums(metric, first - 1))
+
+
+def span_sum(metric: str, first: int, last: int) -> Column:
+    """Sum over rows [first, last] around the current one, as far as they exist."""
+    return F.expr(_span(metric, first, last))
+
+
+def _frame_sum(metric: str, first: int, last: int, complete_from: int) -> str:
     """Sum over rows [first, last] around the current one; NULL before row ``complete_from``."""
-    whole = F.row_number().over(by_day()) >= complete_from
-    return F.when(whole, F.sum(metric).over(by_day().rowsBetween(first, last))).cast("double")
+    return f"CASE WHEN {ROW} >= {complete_from} THEN {_span(metric, first, last)} END"
 
 
 def trailing_sum(metric: str, days: int) -> Column:
-    return _frame_sum(metric, 1 - days, 0, days)
+    return F.expr(_frame_sum(metric, 1 - days, 0, days))
 
 
 def trailing_mean(metric: str, days: int) -> Column:
-    return trailing_sum(metric, days) / F.lit(float(days))
+    return F.expr(f"({_frame_sum(metric, 1 - days, 0, days)}) / {days}D")
 
 
 def lagged(metric: str, days: int = HORIZON_DAYS) -> Column:
@@ -53,19 +100,18 @@ def lagged(metric: str, days: int = HORIZON_DAYS) -> Column:
 
 def trend(metric: str, days: int = 28) -> Column:
     """Mean of the last ``days`` days minus the mean of the ``days`` before them."""
-    earlier = _frame_sum(metric, 1 - 2 * days, -days, 2 * days)
-    return trailing_mean(metric, days) - earlier / F.lit(float(days))
+    now, earlier = _frame_sum(metric, 1 - days, 0, days), _frame_sum(metric, 1 - 2 * days, -days, 2 * days)
+    return F.expr(f"({now}) / {days}D - ({earlier}) / {days}D")
 
 
 def prior_year_sum() -> Column:
     """Revenue of the 30 days that end 365 days earlier; NULL without that history."""
-    return _frame_sum("revenue", -394, -365, 395)
+    return F.expr(_frame_sum("revenue", -394, -365, 395))
 
 
 def next_days_sum(horizon: int = HORIZON_DAYS) -> Column:
     """Revenue of the ``horizon`` following days; NULL unless all of them are present."""
-    known = F.lead("revenue", horizon).over(by_day()).isNotNull()
-    return F.when(known, F.sum("revenue").over(by_day().rowsBetween(1, horizon)))
+    return F.expr(f"CASE WHEN lead(revenue, {horizon}) {OVER}) IS NOT NULL THEN {_span('revenue', 1, horizon)} END")
 
 
 def calendar_columns(date: str = "date") -> dict[str, Column]:
@@ -79,36 +125,41 @@ def calendar_columns(date: str = "date") -> dict[str, Column]:
 def build_features(series: DataFrame, horizon: int = HORIZON_DAYS, with_target: bool = True) -> DataFrame:
     """Feature table keyed by (series, date); features look back only, the target looks ahead.
 
-    Every distinct frame is evaluated once, in one window step; the features are plain arithmetic on
-    those columns.
+    Every running sum is evaluated once, in one window step; the features are plain arithmetic on those columns.
     """
-    frames: dict[str, Column] = {"_row": F.row_number().over(by_day())}
-    for m in DAILY_METRICS:
-        for w in TRAILING_WINDOWS:
-            frames[f"_{m}_{w}"] = F.sum(m).over(by_day().rowsBetween(1 - w, 0))
-        frames[f"_{m}_before"] = F.sum(m).over(by_day().rowsBetween(-55, -28))
-        frames[f"{m}_lag_{horizon}d"] = lagged(m, horizon)
-    frames["_prior"] = F.sum("revenue").over(by_day().rowsBetween(-394, -365))
+    bounds = {m: {0, -28, -56, *(-w for w in TRAILING_WINDOWS)} for m in DAILY_METRICS}
+    bounds["revenue"] |= {-365, -395} | ({horizon} if with_target else set())
+    steps = {"_row": ROW}
     if with_target:
-        frames[TARGET] = next_days_sum(horizon)
-    base = series.select("series", "date", *[c.alias(name) for name, c in frames.items()])
+        steps["_known"] = f"lead(revenue, {horizon}) {OVER}) IS NOT NULL"
+    parts = {}
+    for m in DAILY_METRICS:
+        steps[f"{m}_lag_{horizon}d"] = f"lag({m}, {horizon}) {OVER})"
+        for k in bounds[m]:
+            sums = running_sums(m, k)
+            parts[m, k] = [f"`_{m}_{k}_{i}`" for i in range(len(sums))]
+            steps.update(zip(parts[m, k], sums))
+    base = series.selectExpr("series", "date", *[f"{c} AS {name}" for name, c in steps.items()])
 
-    def from_row(first: int, name: str) -> Column:
-        return F.when(F.col("_row") >= first, F.col(name).cast("double"))
+    def over_rows(m: str, first: int, last: int, complete_from: int) -> str:
+        return f"CASE WHEN _row >= {complete_from} THEN {between(parts[m, last], parts[m, first - 1])} END"
 
-    columns: dict[str, Column] = {}
+    columns: dict[str, str] = {}
     for m in DAILY_METRICS:
         for w in TRAILING_WINDOWS:
-            columns[f"{m}_sum_{w}d"] = from_row(w, f"_{m}_{w}")
-            columns[f"{m}_mean_{w}d"] = from_row(w, f"_{m}_{w}") / F.lit(float(w))
-        columns[f"{m}_lag_{horizon}d"] = F.col(f"{m}_lag_{horizon}d")
-        columns[f"{m}_trend_28d"] = from_row(28, f"_{m}_28") / F.lit(28.0) - from_row(56, f"_{m}_before") / F.lit(28.0)
-    columns["has_prior_year_data"] = (F.col("_row") >= 395).cast("int")
-    columns["revenue_sum_30d_prior_year"] = F.coalesce(from_row(395, "_prior"), F.lit(0.0))
-    columns.update(calendar_columns())
+            columns[f"{m}_sum_{w}d"] = over_rows(m, 1 - w, 0, w)
+            columns[f"{m}_mean_{w}d"] = f"({over_rows(m, 1 - w, 0, w)}) / {w}D"
+        columns[f"{m}_lag_{horizon}d"] = f"{m}_lag_{horizon}d"
+        columns[f"{m}_trend_28d"] = f"({over_rows(m, -27, 0, 28)}) / 28D - ({over_rows(m, -55, -28, 56)}) / 28D"
+    columns["has_prior_year_data"] = "CAST(_row >= 395 AS INT)"
+    columns["revenue_sum_30d_prior_year"] = f"coalesce({over_rows('revenue', -394, -365, 395)}, 0D)"
+    columns.update(
+        dow="weekday(date)", day_of_month="dayofmonth(date)", month="month(date)",
+        is_year_end_window="CAST(month(date) = 12 AND dayofmonth(date) >= 21 AS INT)",
+    )
     if with_target:
-        columns[TARGET] = F.col(TARGET)
-    return base.select("series", "date", *[c.alias(name) for name, c in columns.items()])
+        columns[TARGET] = f"CASE WHEN _known THEN {between(parts['revenue', horizon], parts['revenue', 0])} END"
+    return base.selectExpr("series", "date", *[f"{c} AS {name}" for name, c in columns.items()])
 
 
 def build_supervised(series: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
