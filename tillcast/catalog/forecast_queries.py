@@ -391,7 +391,7 @@ def ridge_gram(spark, sf_dir):
     rows = _rows(spark, sf_dir)
     sums = R.moments(rows).join(rows.groupBy("series").agg(F.stddev_pop(SV.TARGET).alias("y_dev")), "series")
     spread = F.transform("products", lambda row, i: F.when(~F.get("constant", i), F.sqrt(F.get(row, i))))
-    sums = sums.withColumn("spread", spread)
+    sums = materialise(sums.withColumn("spread", spread), "gram")
     share = lambda product, scale: F.coalesce(F.round(product / scale * 10000).cast("bigint").cast("string"), F.lit("-"))
     between = F.flatten(F.transform("products", lambda row, i: F.transform(
         F.slice(row, i + 2, F.lit(len(SUMMED))), lambda p, j: share(p, F.get("spread", i) * F.get("spread", i + j + 1)))))
@@ -407,7 +407,7 @@ FROM (SELECT DISTINCT series FROM split WHERE role = 'train'), (SELECT unnest(['
 def ridge_residual(spark, sf_dir):
     """What the fitted ridges leave of their normal equations on the training rows: nothing, in every feature."""
     train = materialise(holdout(spark, sf_dir).where(F.col("role") == "train"), "train")
-    left = R.gradients(train, R.fit_ridge(train, [LEARNED_SETTINGS["ridge"]["alpha"]]))
+    left = R.gradients(train, materialise(R.fit_ridge(train, [LEARNED_SETTINGS["ridge"]["alpha"]]), "ridges"))
     return left.select("series", "feature", "alpha", F.abs(F.round("residual", 7)).alias("residual"))
 
 

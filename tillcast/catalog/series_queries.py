@@ -139,28 +139,28 @@ LAGS = [f"{m}_lag_30d" for m in DAILY_METRICS]
 TRENDS = [f"{m}_trend_28d" for m in DAILY_METRICS]
 
 
-def _columns(spark, sf_dir, columns) -> DataFrame:
-    return rounded(series(spark, sf_dir).select(*KEYS, *[c.alias(n) for n, c in columns.items()]), 4)
+def _columns(spark, sf_dir, names) -> DataFrame:
+    return rounded(SV.build_features(series(spark, sf_dir), with_target=False).select(*KEYS, *names), 4)
 
 
 @query("trailing_sums", _windows(SUMS))
 def trailing_sums(spark, sf_dir):
-    return _columns(spark, sf_dir, {f"{m}_sum_{w}d": SV.trailing_sum(m, w) for m in DAILY_METRICS for w in TRAILING_WINDOWS})
+    return _columns(spark, sf_dir, SUMS)
 
 
 @query("trailing_means", _windows(MEANS))
 def trailing_means(spark, sf_dir):
-    return _columns(spark, sf_dir, {f"{m}_mean_{w}d": SV.trailing_mean(m, w) for m in DAILY_METRICS for w in TRAILING_WINDOWS})
+    return _columns(spark, sf_dir, MEANS)
 
 
 @query("lag_horizon", _windows(LAGS))
 def lag_horizon(spark, sf_dir):
-    return _columns(spark, sf_dir, {f"{m}_lag_30d": SV.lagged(m) for m in DAILY_METRICS})
+    return _columns(spark, sf_dir, LAGS)
 
 
 @query("trend_28d", _windows(TRENDS))
 def trend_28d(spark, sf_dir):
-    return _columns(spark, sf_dir, {f"{m}_trend_28d": SV.trend(m) for m in DAILY_METRICS})
+    return _columns(spark, sf_dir, TRENDS)
 
 
 @query("prior_year_window", _windows(["revenue_sum_30d_prior_year"]))

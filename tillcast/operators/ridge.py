@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.operators.supervised import TARGET, feature_names
+from tillcast.session import materialise
 
 SOLUTION = "alpha double, n_train bigint, intercept double, weights array<double>"
 
@@ -127,16 +128,17 @@ def gradients(train: DataFrame, weights: DataFrame, keys=("series",), names: lis
     """
     names, keys = names or feature_names(), list(keys)
     error = F.col(TARGET).cast("double") - ridge_prediction(names)
-    rows = train.join(weights, keys).withColumn("_error", error)
     every = ["intercept", *names]
     values = F.concat(F.array(F.lit(1.0)), doubles(names))
-    each = rows.select(*keys, "alpha", "weights", "_error", F.col(TARGET).cast("double").alias("_y"), F.posexplode(values).alias("_at", "_v"))
+    rows = train.join(weights, keys).select(*keys, "alpha", error.alias("_error"), F.col(TARGET).cast("double").alias("_y"), values.alias("_x"))
+    each = materialise(rows, "ridge-errors").select(*keys, "alpha", "_error", "_y", F.posexplode("_x").alias("_at", "_v"))
     tiny, n = F.lit(1e-300), F.count(F.lit(1))
     sums = each.groupBy(*keys, "alpha", "_at").agg(
-        F.first("weights").alias("_w"), F.avg("_error").alias("_left"), F.stddev_pop("_y").alias("_dev"),
+        F.avg("_error").alias("_left"), F.stddev_pop("_y").alias("_dev"),
         F.covar_pop("_v", "_error").alias("_along"), F.var_pop("_v").alias("_var"), n.alias("_n"),
     )
-    pull = F.col("alpha") * F.try_element_at("_w", F.greatest("_at", F.lit(1))) * F.col("_var")
+    sums = sums.join(weights.select(*keys, "alpha", "weights"), [*keys, "alpha"])
+    pull = F.col("alpha") * F.try_element_at("weights", F.greatest("_at", F.lit(1))) * F.col("_var")
     residual = (
         F.when(F.col("_at") == 0, F.col("_left") / F.greatest("_dev", tiny)).when(F.col("_var") == 0, F.lit(0.0))
         .otherwise((F.col("_along") * F.col("_n") - pull) / F.greatest(F.col("_n") * F.sqrt("_var") * F.col("_dev"), tiny))

@@ -45,18 +45,19 @@ OVER = "OVER (PARTITION BY series ORDER BY date"
 ROW = f"row_number() {OVER})"
 
 
-def running_sums(metric: str, upto: int) -> list[str]:
-    """Exact sums of all rows up to ``upto`` rows from the current one, as SQL.
+def parts_of(metric: str) -> list[str]:
+    """What is summed exactly for a metric: itself, or for a fractional one whole units, millionths, and how many values do not fit."""
+    if metric not in FRACTIONAL:
+        return [metric]
+    fit = f"CASE WHEN abs({metric}) < {LIMIT!r}D THEN {metric} END"
+    return [
+        f"CAST(floor({fit}) AS BIGINT)", f"CAST(round(({fit} - floor({fit})) * {PLACES}) AS BIGINT)",
+        f"CAST({metric} IS NOT NULL AND ({fit}) IS NULL AS BIGINT)",
+    ]
 
-    For a fractional metric: whole units, millionths, and how many values do not fit.
-    """
-    values = [f"CAST({metric} AS BIGINT)"]
-    if metric in FRACTIONAL:
-        fit = f"CASE WHEN abs({metric}) < {LIMIT!r}D THEN {metric} END"
-        values = [
-            f"CAST(floor({fit}) AS BIGINT)", f"CAST(round(({fit} - floor({fit})) * {PLACES}) AS BIGINT)",
-            f"CAST({metric} IS NOT NULL AND ({fit}) IS NULL AS BIGINT)",
-        ]
+
+def running_sums(values: list[str], upto: int) -> list[str]:
+    """Sums of all rows up to ``upto`` rows from the current one, as SQL."""
     last = "CURRENT ROW" if upto == 0 else f"{abs(upto)} {'PRECEDING' if upto < 0 else 'FOLLOWING'}"
     return [f"coalesce(sum({v}) {OVER} ROWS BETWEEN UNBOUNDED PRECEDING AND {last}), 0L)" for v in values]
 
@@ -73,7 +74,7 @@ def between(upto: list[str], before: list[str]) -> str:
 
 
 def _span(metric: str, first: int, last: int) -> str:
-    return between(running_sums(metric, last), running_sums(metric, first - 1))
+    return between(running_sums(parts_of(metric), last), running_sums(parts_of(metric), first - 1))
 
 
 def span_sum(metric: str, first: int, last: int) -> Column:
@@ -122,27 +123,37 @@ def calendar_columns(date: str = "date") -> dict[str, Column]:
     }
 
 
-def build_features(series: DataFrame, horizon: int = HORIZON_DAYS, with_target: bool = True) -> DataFrame:
+def build_features(series: DataFrame, horizon: int = HORIZON_DAYS, with_target: bool = True, complete: bool = False) -> DataFrame:
     """Feature table keyed by (series, date); features look back only, the target looks ahead.
 
     Every running sum is evaluated once, in one window step; the features are plain arithmetic on those columns.
+    ``complete`` leaves out rows that lack a feature or the target, and those with a NaN among them.
     """
     bounds = {m: {0, -28, -56, *(-w for w in TRAILING_WINDOWS)} for m in DAILY_METRICS}
     bounds["revenue"] |= {-365, -395} | ({horizon} if with_target else set())
     steps = {"_row": ROW}
     if with_target:
         steps["_known"] = f"lead(revenue, {horizon}) {OVER}) IS NOT NULL"
-    parts = {}
+    parts, summed = {}, {m: [f"`_{m}_{i}`" for i in range(len(parts_of(m)))] if m in FRACTIONAL else [m] for m in DAILY_METRICS}
     for m in DAILY_METRICS:
         steps[f"{m}_lag_{horizon}d"] = f"lag({m}, {horizon}) {OVER})"
-        for k in bounds[m]:
-            sums = running_sums(m, k)
+        for k in sorted(bounds[m]):
+            sums = running_sums(summed[m], k)
             parts[m, k] = [f"`_{m}_{k}_{i}`" for i in range(len(sums))]
             steps.update(zip(parts[m, k], sums))
-    base = series.selectExpr("series", "date", *[f"{c} AS {name}" for name, c in steps.items()])
+    # What is summed becomes a column first: the optimizer's constraints grow with the square and more of equal inner expressions.
+    first = [f"{c} AS {n}" for m in FRACTIONAL for c, n in zip(parts_of(m), summed[m])]
+    base = series.selectExpr("series", "date", *DAILY_METRICS, *first).selectExpr("series", "date", *[f"{c} AS {name}" for name, c in steps.items()])
+
+    spans: dict[str, str] = {}
+
+    def span(m: str, first: int, last: int) -> str:
+        name = f"`_{m}_{first}_to_{last}`"
+        spans[name] = between(parts[m, last], parts[m, first - 1])
+        return name
 
     def over_rows(m: str, first: int, last: int, complete_from: int) -> str:
-        return f"CASE WHEN _row >= {complete_from} THEN {between(parts[m, last], parts[m, first - 1])} END"
+        return f"CASE WHEN _row >= {complete_from} THEN {span(m, first, last)} END"
 
     columns: dict[str, str] = {}
     for m in DAILY_METRICS:
@@ -158,14 +169,22 @@ def build_features(series: DataFrame, horizon: int = HORIZON_DAYS, with_target:
         is_year_end_window="CAST(month(date) = 12 AND dayofmonth(date) >= 21 AS INT)",
     )
     if with_target:
-        columns[TARGET] = f"CASE WHEN _known THEN {between(parts['revenue', horizon], parts['revenue', 0])} END"
-    return base.selectExpr("series", "date", *[f"{c} AS {name}" for name, c in columns.items()])
+        columns[TARGET] = f"CASE WHEN _known THEN {span('revenue', 1, horizon)} END"
+    if complete:
+        unfit = [(parts["revenue", b][2], parts["revenue", a][2]) for b, a in ((0, -max(TRAILING_WINDOWS)), (-365, -395), (horizon, 0))]
+        base = base.where(" AND ".join([f"_row >= {max(TRAILING_WINDOWS)}", "_known", *(f"{b} <= {a}" for b, a in unfit)]))
+    # Small expressions over named differences: the optimizer compares every column's expression with every other.
+    known = [n for n in steps if n in ("_row", "_known") or "_lag_" in n]
+    return base.selectExpr("series", "date", *known, *[f"{c} AS {name}" for name, c in spans.items()]).selectExpr("series", "date", *[f"{c} AS {name}" for name, c in columns.items()])
 
 
 def build_supervised(series: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
-    """Rows with every feature and the target known; gaps in the calendar are filled first."""
-    table = build_features(densify(series), horizon)
-    return table.dropna(subset=[*feature_names(horizon), TARGET])
+    """Rows with every feature and the target known; gaps in the calendar are filled first.
+
+    In a dense series all features are there from the day on that the longest frame is. The filter asks row numbers and
+    counts, not the features: those would lead the optimizer to weigh each of their expressions against each other.
+    """
+    return build_features(densify(series), horizon, complete=True)
 
 
 def features_as_of(features: DataFrame, requests: DataFrame) -> DataFrame:
