@@ -16,12 +16,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tillcast.llm.common import add_columns
+from tillcast.llm.common import Remembered, add_columns, keep_memory
 
 #: Words of more symbols than this get a tree of their own.
 WIDEST = 64
-#: Pieces of text that a Python worker remembers.
-REMEMBERED = 400_000
+#: Bytes of pieces of text, with their ids, that a Python worker remembers.
+REMEMBERED = 160_000_000
 
 NONE = np.int64(1) << 60
 #: The characters that Unicode calls white space.
@@ -167,7 +167,8 @@ class WordBpe:
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in self.added.items()}
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.known: dict[str, tuple[bytes, str]] = {}
+        #: Ids and decoded text of a piece.
+        self.known = Remembered(REMEMBERED, lambda piece, found: 320 + len(piece) + len(found[0]) + len(found[1]))
 
     def symbols(self, word: str) -> list[int]:
         data = word.encode()
@@ -205,18 +206,17 @@ class WordBpe:
 
     def learn(self, pieces: set[str]) -> None:
         """Adds what is new to the remembered pieces."""
-        new = pieces.difference(self.known)
+        new = self.known.missing(pieces)
         if not new:
             return
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = pieces
         split = {p: self.words(self.lower(p)) for p in new}
         words = list({w for ws in split.values() for w in ws})
         ids = dict(zip(words, self.encode_words(words)))
+        done = []
         for p, ws in split.items():
             found = ids[ws[0]] if len(ws) == 1 else np.concatenate([ids[w] for w in ws]) if ws else np.zeros(0, "<u4")
-            self.known[p] = (found.tobytes(), self.decode(found.tolist()))
+            done.append((p, (found.tobytes(), self.decode(found.tolist()))))
+        self.known.add(done)
 
     def decode(self, ids: list[int]) -> str:
         """The tokens with a space between, special ones too."""
@@ -227,12 +227,13 @@ class WordBpe:
         parts = [self.special.split(t or "") if self.special and "<" in (t or "") else [t or ""] for t in texts]
         cut = [[[p] if k % 2 else self.pieces(p) for k, p in enumerate(ps)] for ps in parts]
         self.learn({p for doc in cut for k, ps in enumerate(doc) if k % 2 == 0 for p in ps})
-        known, out = self.known, []
+        known, out = self.known.young, []
         for doc in cut:
             found = [known[p] for p in doc[0]]
             for k, ps in enumerate(doc[1:], 1):
                 found += [(self.added[ps[0]].to_bytes(4, "little"), ps[0])] if k % 2 else [known[p] for p in ps]
             out.append((b"".join([x[0] for x in found]), " ".join([x[1] for x in found if x[1]])))
+        self.known.settle()
         return out
 
 
@@ -244,6 +245,7 @@ def word_bpe(spec: str) -> WordBpe:
     key = hashlib.sha256(spec.encode()).hexdigest()
     if key not in _READY:
         _READY[key] = WordBpe(spec)
+        keep_memory("bpe", _READY[key].known)
     return _READY[key]
 
 
@@ -279,6 +281,7 @@ def encode_texts(docs: DataFrame, path: str, column: str = "text", keep_text: bo
 
         return full if keep_text else digests
 
+    make.owner = "bpe"
     if keep_text:
         fields = [T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.StringType())]
     else:

@@ -44,13 +44,79 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
         start = stop
 
 
+class Remembered:
+    """A mapping of bounded size in two generations: what is asked for again outlives what is not.
+
+    Entries count their bytes, as ``size_of`` estimates them; the older generation goes when the younger is full.
+    """
+
+    def __init__(self, most_bytes: int, size_of: Callable[[object, object], int]):
+        self.most, self.size_of = most_bytes // 2, size_of
+        self.young: dict = {}
+        self.old: dict = {}
+        self.held = 0
+
+    def missing(self, keys) -> list:
+        """The keys that are not known; those of the older generation move to the younger."""
+        young, old, new = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                v = old.pop(k, None)
+                if v is None:
+                    new.append(k)
+                else:
+                    young[k] = v
+                    self.held += self.size_of(k, v)
+        return new
+
+    def add(self, pairs) -> None:
+        for k, v in pairs:
+            self.young[k] = v
+            self.held += self.size_of(k, v)
+
+    def settle(self) -> None:
+        """To be called when the present keys are done with."""
+        if self.held > self.most:
+            self.old, self.young, self.held = self.young, {}, 0
+
+    def clear(self) -> None:
+        self.old, self.young, self.held = {}, {}, 0
+
+
+#: What this Python worker remembers between tasks, by the operator that filled it.
+_MEMORIES: dict[str, list[Remembered]] = {}
+
+
+def keep_memory(owner: str, memory: Remembered) -> None:
+    """The memory outlives its task, until this worker gets a task of another operator."""
+    _MEMORIES.setdefault(owner, []).append(memory)
+
+
+def drop_memories(but: str | None) -> None:
+    for owner, memories in _MEMORIES.items():
+        if owner != but:
+            for m in memories:
+                m.clear()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system at a task's end: workers live on, and idle ones would keep it."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def add_columns(
     df: DataFrame, columns: str | list[str], make: Callable[[], Callable[..., Sequence]], fields: list[T.StructField],
 ) -> DataFrame:
     """``df`` with ``fields`` computed from ``columns``, the first a text; a new column replaces one of the same name.
 
     ``make`` is called once a task and returns a function from a list of values for each column (None for
-    null) to one sequence of values for each field. It is a narrow step: rows stay where they are.
+    null) to one sequence of values for each field. It is a narrow step: rows stay where they are. What other
+    operators remember in this worker is dropped, but for those named by an attribute ``owner`` of ``make``.
     """
     columns = [columns] if isinstance(columns, str) else columns
     new = [f.name for f in fields]
@@ -61,13 +127,20 @@ def add_columns(
         from pyspark.sql.pandas.types import to_arrow_type
 
         kinds = [to_arrow_type(f.dataType) for f in fields]
+        drop_memories(getattr(make, "owner", None))
+        give_back()
         work = make()
-        for batch in batches:
-            for part in chunks(batch, columns[0]):
-                at = part.schema.get_field_index
-                values = work(*(part.column(at(c)).to_pylist() for c in columns))
-                made = [pa.array(v, type=kind) for v, kind in zip(values, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(part.column(at(f.name)) for f in rest), *made], names=names)
+        try:
+            for batch in batches:
+                for part in chunks(batch, columns[0]):
+                    at = part.schema.get_field_index
+                    values = work(*(part.column(at(c)).to_pylist() for c in columns))
+                    made = [pa.array(v, type=kind) for v, kind in zip(values, kinds, strict=True)]
+                    del values
+                    yield pa.RecordBatch.from_arrays([*(part.column(at(f.name)) for f in rest), *made], names=names)
+        finally:
+            del work
+            give_back()
 
     return df.mapInArrow(run, T.StructType([*rest, *fields]))
 

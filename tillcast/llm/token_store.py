@@ -21,18 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.llm.bpe import SPACE, vocabulary
-from tillcast.llm.common import chunks
+from tillcast.llm.common import Remembered, chunks, drop_memories, give_back, keep_memory
 from tillcast.session import materialise, scratch_path
 
 MAGIC = b"TILLTOK1"
 #: Documents that one reading step covers.
 READ_DOCS = 20_000
 
-#: Words of new text that the library gets at once, and in one line; bytes of text that a step of a task holds, words remembered.
+#: Words of new text that the library gets at once, and in one line; bytes of text that a step of a task holds, bytes remembered.
 BATCH = 10_000
 LINE = 500
 STEP_BYTES = 2_000_000
-REMEMBERED = 300_000
+REMEMBERED = 96_000_000
 
 #: White space but for the blank and the line feed.
 RARE = [c for c in SPACE if c not in " \n"]
@@ -61,7 +61,7 @@ class ByteEncoder:
         for token, i in tokens.items():
             self.sizes[i] = len(token.encode()) if token in added else len(token)  # a letter of a token is a byte
         #: Ids of a word with the blank before it, or of one that starts with a line feed.
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(REMEMBERED, lambda word, ids: 190 + len(word) + len(ids))
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(pieces, add_special_tokens=False) if pieces else []
@@ -89,14 +89,11 @@ class ByteEncoder:
         return out
 
     def _learn(self, words: set[str]) -> None:
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = words
-        odd = new & {"", "\n"}
-        asked = list(new - odd)
-        self.known.update(zip(asked, self._ids_of_words([w if w[0] == "\n" else " " + w for w in asked])))
-        self.known.update(zip(odd, self._ids([w or " " for w in odd])))
+        new = self.known.missing(words)
+        odd = [w for w in new if w in ("", "\n")]
+        asked = [w for w in new if w not in ("", "\n")]
+        self.known.add(zip(asked, self._ids_of_words([w if w[0] == "\n" else " " + w for w in asked])))
+        self.known.add(zip(odd, self._ids([w or " " for w in odd])))
 
     def encode(self, texts: list[str | None], end: int | None = 0) -> list[bytes]:
         """Ids of each text in this vocabulary's width, with ``end`` appended."""
@@ -112,10 +109,12 @@ class ByteEncoder:
                 cut.append(words[1:])
         self._learn(set().union(*cut) if cut else set())
         opening = self._ids([f[0] if f and isinstance(f[0], str) else "" for f in first])
-        look, tail = self.known.__getitem__, b"" if end is None else np.array([end], self.kind).tobytes()
-        return [
+        look, tail = self.known.young.__getitem__, b"" if end is None else np.array([end], self.kind).tobytes()
+        out = [
             b"".join((*(f if f and isinstance(f[0], bytes) else [o]), *map(look, ws), tail)) for f, o, ws in zip(first, opening, cut)
         ]
+        self.known.settle()
+        return out
 
 
 _READY: dict[str, ByteEncoder] = {}
@@ -125,6 +124,7 @@ def byte_encoder(spec: str) -> ByteEncoder:
     key = hashlib.sha256(spec.encode()).hexdigest()
     if key not in _READY:
         _READY[key] = ByteEncoder(spec)
+        keep_memory("tokens", _READY[key].known)
     return _READY[key]
 
 
@@ -159,6 +159,7 @@ def write_tokens(
         system.create_dir(top, recursive=True)
         context = TaskContext.get()
         name = f"shard-{context.partitionId():06d}-{context.attemptNumber()}-{uuid.uuid4().hex[:8]}"
+        drop_memories("tokens")
         encoder = byte_encoder(spec.value)
         keys, empty, sizes = [], [], []
         out = None
@@ -171,6 +172,7 @@ def write_tokens(
                 keys.append(ids.fill_null(0).to_numpy(zero_copy_only=False))
                 empty.append(ids.is_null().to_numpy(zero_copy_only=False))
                 sizes.append(np.array([len(x) // encoder.width for x in found], np.uint64))
+        give_back()
         if out is None:
             return
         out.close()
