@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillcast.operators import forecast as FC
 from tillcast.operators import supervised as SV
 from tillcast.operators import trees as T
+from tillcast.plans.model_store import current_folder
 from tillcast.plans import comparison, scoring, training
 from tillcast.session import materialise
 
@@ -99,7 +100,7 @@ def test_compare_store_and_answer(spark, rows, features, tmp_path):
     assert training.selected_approach(spark, str(tmp_path / "m"))[0] == done.winner
     skipped = {r["series"]: r["skip_reason"] for r in done.training.registry.collect()}
     assert set(skipped) == {"overall", "Eire", "Malta"}
-    held = spark.read.option("header", True).csv(str(tmp_path / "m" / "overall_holdout"))
+    held = spark.read.option("header", True).csv(f"{current_folder(spark, str(tmp_path / 'm'))}/overall_holdout")
     assert held.count() == SV.chronological_holdout(rows).where("role = 'test' AND series = 'overall'").count()
 
     known = done.training.registry.where("skip_reason IS NULL").select("series")

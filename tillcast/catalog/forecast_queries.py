@@ -20,6 +20,7 @@ from tillcast.operators import ridge as R
 from tillcast.operators import supervised as SV
 from tillcast.plans import comparison, scoring, training
 from tillcast.plans.backtest import rolling_origin_backtest
+from tillcast.plans.model_store import current_folder
 from tillcast.session import materialise, scratch_path
 
 PREDICTED = "SELECT series, {0}, model, round(actual, 2) AS actual, round(predicted, 2) AS predicted FROM {1}".format(day("date"), "{0}")
@@ -465,7 +466,7 @@ def compare_and_store(spark, sf_dir):
     """The whole comparison: tuned, evaluated on every series, chosen among the learned families, stored; its record read back."""
     path = scratch_path(spark, "compared")
     comparison.compare_and_store(_rows(spark, sf_dir), path)
-    return spark.read.json(f"{path}/comparison").select("series", "model", "mae", "rmse", "mape", "normalised_mae", "winner")
+    return spark.read.json(f"{current_folder(spark, path)}/comparison").select("series", "model", "mae", "rmse", "mape", "normalised_mae", "winner")
 
 
 def trained_models(spark: SparkSession, sf_dir: str):

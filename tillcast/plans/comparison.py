@@ -73,7 +73,7 @@ class Comparison:
 def compare_and_store(supervised: DataFrame, models_dir: str, grids: dict | None = None, gap_days: int = 0, **store) -> Comparison:
     """Tune, evaluate all models on every series, choose among the learned ones, refit the winner on all rows, store.
 
-    Beside the models, ``comparison`` holds the metrics and the choice, and ``overall_holdout`` the
+    Beside the models of that version, ``comparison`` holds the metrics and the choice, and ``overall_holdout`` the
     overall series' held-out rows under its best learned model as CSV.
     """
     tuned = materialise(tune(supervised, grids, gap_days), "tuned")
@@ -82,9 +82,11 @@ def compare_and_store(supervised: DataFrame, models_dir: str, grids: dict | None
     predictions = materialise(holdout_predictions(supervised, parameters, (*FC.BASELINES, *learned), gap_days), "predictions")
     metrics = materialise(normalised_mae(regression_metrics(predictions), supervised), "metrics")
     winner = select_winner(metrics, learned).first()["winner"]
-    training = fit_and_store(supervised, models_dir, winner, parameters[winner], **store)
-    metrics.withColumn("winner", F.lit(winner)).coalesce(1).write.mode("overwrite").json(f"{models_dir}/comparison")
-    tuned.coalesce(1).write.mode("overwrite").json(f"{models_dir}/tuning")
-    chosen = overall_holdout(predictions, metrics).coalesce(1)
-    chosen.write.mode("overwrite").option("header", True).csv(f"{models_dir}/overall_holdout")
+
+    def record(folder: str) -> None:
+        metrics.withColumn("winner", F.lit(winner)).coalesce(1).write.json(f"{folder}/comparison")
+        tuned.coalesce(1).write.json(f"{folder}/tuning")
+        overall_holdout(predictions, metrics).coalesce(1).write.option("header", True).csv(f"{folder}/overall_holdout")
+
+    training = fit_and_store(supervised, models_dir, winner, parameters[winner], beside=record, **store)
     return Comparison(tuned, predictions, metrics, winner, training)

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +19,7 @@ from tillcast.operators.drift import feature_summary
 from tillcast.operators.markets import as_transactions, top_countries
 from tillcast.operators.supervised import build_supervised, feature_names, series_summary
 from tillcast.plans.ingest import ingest_directory
+from tillcast.plans.model_store import current_folder, publish
 from tillcast.session import materialise
 from tillcast.sources.invoices import IngestionError
 
@@ -33,10 +34,8 @@ class Training:
 
 
 def load_registry(spark: SparkSession, models_dir: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{models_dir}/registry")
-    except AnalysisException:
-        return None
+    folder = current_folder(spark, models_dir)
+    return None if folder is None else spark.read.parquet(f"{folder}/registry")
 
 
 def selected_approach(spark: SparkSession, models_dir: str) -> tuple[str, dict]:
@@ -50,14 +49,17 @@ def selected_approach(spark: SparkSession, models_dir: str) -> tuple[str, dict]:
 
 def fit_and_store(
     supervised: DataFrame, models_dir: str, family: str, hyperparameters: dict, top_n: int = TOP_MARKETS,
-    as_of=None, data_dirs=(), n_transactions: int = 0,
+    as_of=None, data_dirs=(), n_transactions: int = 0, beside: Callable[[str], None] | None = None,
 ) -> Training:
-    """Fit one model per long enough series, write models, registry and feature summary."""
+    """Fit one model per long enough series; models, registry and feature summary become current together, or none of them.
+
+    ``beside`` writes what else belongs to the version into its folder.
+    """
     spark = supervised.sparkSession
     family = FC.family_name(family)
     summary = series_summary(supervised, MIN_TRAINING_ROWS).withColumn("slug", slug(F.col("series")))
     long_enough = supervised.join(summary.where(F.col("skip_reason").isNull()).select("series"), "series", "left_semi")
-    FC.fit_models(long_enough, FC.candidates({family: [hyperparameters]})).write.mode("overwrite").parquet(f"{models_dir}/models")
+    models = FC.fit_models(long_enough, FC.candidates({family: [hyperparameters]}))
     stored = {k: json.dumps(v) for k, v in hyperparameters.items()}
     kept = ["series", "slug", "n_training_rows", "first_date", "last_date", "skip_reason"]
     registry = materialise(summary.select(*kept), "registry").withColumns({
@@ -71,11 +73,16 @@ def fit_and_store(
     })
     trained = registry.where(F.col("skip_reason").isNull()).select("series")
     features = feature_summary(supervised.join(trained, "series", "left_semi"))
-    features.write.mode("overwrite").parquet(f"{models_dir}/feature_summary")
-    registry.coalesce(1).write.mode("overwrite").parquet(f"{models_dir}/registry")
-    return Training(
-        spark.read.parquet(f"{models_dir}/registry"), spark.read.parquet(f"{models_dir}/feature_summary"), n_transactions,
-    )
+
+    def write(folder: str) -> None:
+        models.write.parquet(f"{folder}/models")
+        features.write.parquet(f"{folder}/feature_summary")
+        registry.coalesce(1).write.parquet(f"{folder}/registry")
+        if beside is not None:
+            beside(folder)
+
+    folder = publish(spark, models_dir, write)
+    return Training(spark.read.parquet(f"{folder}/registry"), spark.read.parquet(f"{folder}/feature_summary"), n_transactions)
 
 
 def retrain(
@@ -111,9 +118,10 @@ def retrain_directories(spark: SparkSession, data_dirs, models_dir: str, **optio
 
 def load_models(spark: SparkSession, models_dir: str) -> DataFrame:
     """One row per trained series, as ``fit_models`` gives it."""
-    if load_registry(spark, models_dir) is None:
+    folder = current_folder(spark, models_dir)
+    if folder is None:
         raise IngestionError(f"no trained models in {models_dir}")
-    return spark.read.parquet(f"{models_dir}/models")
+    return spark.read.parquet(f"{folder}/models")
 
 
 def stored_scorer(spark: SparkSession, models_dir: str):
