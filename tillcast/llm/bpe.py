@@ -21,7 +21,7 @@ from tillcast.llm.common import Remembered, add_columns, keep_memory
 #: Words of more symbols than this get a tree of their own.
 WIDEST = 64
 #: Bytes of pieces of text, with their ids, that a Python worker remembers.
-REMEMBERED = 160_000_000
+REMEMBERED = 240_000_000
 
 NONE = np.int64(1) << 60
 #: The characters that Unicode calls white space.
@@ -258,15 +258,17 @@ def vocabulary(path: str, most: int = 64_000_000) -> str:
     return data.decode()
 
 
-def encode_texts(docs: DataFrame, path: str, column: str = "text", keep_text: bool = True) -> DataFrame:
+def encode_texts(docs: DataFrame, path: str, column: str = "text", keep_text: bool = True, remembered: int = REMEMBERED) -> DataFrame:
     """``docs`` with ids (arrays), n_tokens and decoded text, or with their digests if ``keep_text`` is off.
 
-    A null text counts as empty: no ids, an empty decoded text. New columns replace clashing ones.
+    A null text counts as empty: no ids, an empty decoded text. New columns replace clashing ones. ``remembered`` bounds the
+    bytes of pieces that a worker keeps; it changes the time, not the result.
     """
     spec = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def make():
         bpe = word_bpe(spec.value)
+        bpe.known.bound(remembered)
 
         def full(texts):
             found = bpe.encode(texts)

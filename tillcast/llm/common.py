@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one call of a text function gets, unless a single text is longer.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,11 @@ class Remembered:
         self.old: dict = {}
         self.held = 0
 
+    def bound(self, most_bytes: int) -> None:
+        self.most = most_bytes // 2
+        if self.held > self.most:
+            self.clear()
+
     def missing(self, keys) -> list:
         """The keys that are not known; those of the older generation move to the younger."""
         young, old, new = self.young, self.old, []
