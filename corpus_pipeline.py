@@ -11,6 +11,10 @@ from tillcast.llm.common import held_out, table
 from tillcast.session import materialise
 
 
+#: Bytes of pieces that a worker remembers while encoding: executors still hold what earlier stages made them grow to.
+ENCODER_BYTES = 40_000_000
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, trained on the labels of those not held out, does not call toxic."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -40,7 +44,8 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded texts."""
-    found = bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("word_bpe_49k.json"), keep_text=False)
+    kept = docs.select("doc_id", "lang", "source", "text")
+    found = bpe.encode_texts(kept, public_tokenizers.path("word_bpe_49k.json"), keep_text=False, remembered=ENCODER_BYTES)
     return found.drop("text")
 
 
