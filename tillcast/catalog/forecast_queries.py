@@ -299,6 +299,38 @@ def batch_predict(spark, sf_dir):
     return out.groupBy("country", "date", "series", "status", "predicted_revenue_next_30d").agg(F.count(F.lit(1)).alias("n"))
 
 
+DRIFT_DAYS = S.SUPERVISED + f""",
+long AS (UNPIVOT (SELECT series, date, {TYPED} FROM features) ON {', '.join(NAMES)} INTO NAME feature VALUE v),
+whole AS (SELECT * FROM long QUALIFY count(*) OVER (PARTITION BY series, date) = {len(NAMES)}),
+spans AS (
+  SELECT series, date, feature, avg(v) OVER recent AS recent, avg(v) OVER past AS mean, stddev_pop(v) OVER past AS std, count(*) OVER past AS n,
+         min(v) OVER past = max(v) OVER past AS steady, min(v) OVER both_ = max(v) OVER both_ AS same
+  FROM whole WINDOW
+    recent AS (PARTITION BY series, feature ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW),
+    past AS (PARTITION BY series, feature ORDER BY date ROWS BETWEEN 149 PRECEDING AND 30 PRECEDING),
+    both_ AS (PARTITION BY series, feature ORDER BY date ROWS BETWEEN 149 PRECEDING AND CURRENT ROW)
+),
+z AS (
+  SELECT series, date, feature, n, round(CASE WHEN same THEN 0 ELSE (recent - mean) / CASE WHEN steady OR std = 0 THEN 1e-9 ELSE std END END, 9) AS z
+  FROM spans WHERE n >= 30
+)"""
+
+
+@query("drift_every_day", f"""WITH {DRIFT_DAYS}
+SELECT series, {day("date")}, CAST(max(n) AS BIGINT) AS n_train_rows, CAST(count(*) FILTER (abs(z) > 3) AS BIGINT) AS n_flagged,
+       round(least(max(abs(z)), 1000), 3) AS max_abs_z, bool_or(abs(z) > 3) AS drift_detected
+FROM z GROUP BY series, date""")
+def drift_every_day(spark, sf_dir):
+    """The verdict of every day of every series: its last 30 rows against the 120 before them."""
+    found = DR.daily_zscores(features(spark, sf_dir), window=30, history=120)
+    large = F.abs(F.col("z"))
+    days = found.groupBy("series", "date").agg(
+        F.max("n_train_rows").alias("n_train_rows"), F.count_if(large > 3).alias("n_flagged"),
+        F.least(F.max(large), F.lit(1000.0)).alias("max_abs_z"), F.bool_or(large > 3).alias("drift_detected"),
+    )
+    return shown(days, max_abs_z=3)
+
+
 @query("batch_drift", f"""WITH {SUMMARY}{S.TOP}, {REQUESTS_SQL},
 wanted AS (SELECT DISTINCT series, as_of FROM answered WHERE status = 'ok'),
 long_rows AS (
