@@ -148,3 +148,24 @@ def test_files_cut_anywhere_read_like_whole_ones(spark, tmp_path):
     assert outcomes == {
         **dict.fromkeys(texts, "unreadable"), "invoices-a.json": "loaded", "invoices-b.json": "loaded", "invoices-h.json": "missing_columns",
     }
+
+
+def test_small_files_are_read_without_a_shuffle_and_beside_large_ones(spark, tmp_path):
+    from tillcast.sources.invoices import file_outcomes, read_exports
+
+    variants = {**LINE, "Price": 3, "PRICE": 4, "StreamID": 1}
+    export(tmp_path, "invoices-a.json", [LINE, 7, variants, {k.upper(): v for k, v in LINE.items()}])
+    assert "Exchange" not in read_exports(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    export(tmp_path, "invoices-b.json", [{**LINE, "invoice": str(k)} for k in range(20)])
+    export(tmp_path, "invoices-c.json", json.dumps([LINE] * 9)[:-1])
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    try:
+        for size in (kept, "1000b", "1b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = read_exports(spark, str(tmp_path))
+            found.append(sorted(map(str, rows.collect())))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert found[0] == found[1] == found[2] and len(found[0]) == 4 + 20 + 3
+    assert dict(map(tuple, file_outcomes(rows).collect())) == {f"invoices-{n}.json": s for n, s in zip("abc", ("loaded", "loaded", "unreadable"))}
