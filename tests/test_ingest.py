@@ -169,3 +169,25 @@ def test_small_files_are_read_without_a_shuffle_and_beside_large_ones(spark, tmp
         spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
     assert found[0] == found[1] == found[2] and len(found[0]) == 4 + 20 + 3
     assert dict(map(tuple, file_outcomes(rows).collect())) == {f"invoices-{n}.json": s for n, s in zip("abc", ("loaded", "loaded", "unreadable"))}
+
+
+def test_rules_are_not_parsed_again_for_a_filter(spark):
+    import os
+
+    import __spark_entry__ as entry
+
+    sf_dir = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf_dir):
+        pytest.skip("driver tables absent")
+    plan = entry.queries()["require_fields"](spark, sf_dir)._jdf.queryExecution().optimizedPlan()
+    joins = [line for line in plan.toString().split("\n") if "Join Inner" in line]
+    assert joins and not any("regexp_extract" in line for line in joins)
+
+
+def test_trimming_keeps_every_blank_rule(spark):
+    from tillcast.functions.coercion import WHITESPACE, trimmed
+
+    texts = [" a ", "　a\t ", "a b", "", "   ", "\t", " \x85 é ", "é", "~", "!", "\x7f", " ​ ", None, " \x1f1 "]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = rows.select(trimmed(F.col("t")).alias("a"), F.btrim("t", F.lit(WHITESPACE)).alias("b")).collect()
+    assert [r.a for r in found] == [r.b for r in found] == [t and t.strip(WHITESPACE) for t in texts]

@@ -233,8 +233,12 @@ def assemble_date(spark, sf_dir):
 SELECT country, CAST(count(*) AS BIGINT) AS n, CAST(count(customer_id) AS BIGINT) AS n_customers
 FROM ruled WHERE drop_reason IS NULL OR drop_reason = 'bad_debt_adjustment' GROUP BY country""")
 def require_fields(spark, sf_dir):
-    kept = tagged(spark, sf_dir).where(F.col("drop_reason").isNull() | (F.col("drop_reason") == CL.BAD_DEBT))
-    return kept.groupBy("country").agg(F.count(F.lit(1)).alias("n"), F.count("customer_id").alias("n_customers"))
+    """Counted under the rule: a filter on the reason would be pushed below the join and parse every text again for each rule."""
+    kept = F.coalesce(F.col("drop_reason"), F.lit(CL.BAD_DEBT)) == CL.BAD_DEBT
+    counted = tagged(spark, sf_dir).withColumn("kept", kept).groupBy("country").agg(
+        F.count_if("kept").alias("n"), F.count_if(F.col("kept") & F.col("customer_id").isNotNull()).alias("n_customers"),
+    )
+    return counted.where(F.col("n") > 0)
 
 
 @query("drop_bad_debt", f"""WITH {S.CLEAN}
