@@ -130,12 +130,12 @@ errors AS (
 
 def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The naive forecast of every day with enough history, as if logged, against later actuals."""
-    rows = materialise(features(spark, sf_dir), "features")
-    logged = rows.where(FC.naive().isNotNull()).select(
+    daily = materialise(series(spark, sf_dir), "series")
+    logged = SV.build_features(daily).where(FC.naive().isNotNull()).select(
         F.col("series").alias("country"), F.col("date").alias("as_of_date"),
         F.round(FC.naive(), 2).alias("predicted_revenue_next_30d"),
     )
-    return EV.evaluate_logged(logged, series(spark, sf_dir))
+    return materialise(EV.evaluate_logged(logged, daily), "evaluated")
 
 
 @query("eval_summary_by_series", f"""WITH {LOGGED}
