@@ -16,13 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Lines that meet their orders in one task, on average: what a task holds does not grow with the tables.
+LINES_PER_TASK = 1_000_000
+
+
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with order, customer and nation; the optimizer broadcasts what is small enough."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     buyers = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select("c_custkey", "n_name")
     placed = orders.join(buyers, orders.o_custkey == buyers.c_custkey)
-    return lines.join(placed, lines.l_orderkey == placed.o_orderkey)
+    n_tasks = max(spark.sparkContext.defaultParallelism, lines.count() // LINES_PER_TASK + 1)
+    return lines.repartition(n_tasks, "l_orderkey").join(placed.repartition(n_tasks, "o_orderkey"), lines.l_orderkey == placed.o_orderkey)
 
 
 def _invoice():
