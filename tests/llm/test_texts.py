@@ -128,6 +128,17 @@ def test_all_notices_of_a_text(docs_of):
     assert rows[0].notices[0].block == "Released under the MIT License"
 
 
+def test_compression_decides_where_notices_are_looked_for(monkeypatch):
+    filler = " ".join(f"word{i}" for i in range(3000))
+    texts = [f"{filler} {t.replace(' ', chr(10))} {filler}" for t in license_scan.TEMPLATES.values()]
+    scanner = license_scan.LicenseScanner()
+    names = [n.removesuffix("-line") for n in license_scan.TEMPLATES]
+    assert [[x[0] for x in scanner.scan(t)] for t in texts] == [[n] for n in names]  # each beside all other templates
+    assert all(x[4] == "exact" and x[1] > 0.25 for t in texts for x in scanner.scan(t))
+    monkeypatch.setattr(license_scan, "NOTICED", 1.0)  # no window shrinks to nothing: no template is looked for
+    assert not any(scanner.scan(t) for t in texts)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p><article>";</script></head>
 <body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/a">Menu</a></li></ul></nav><!-- <p>no</p> -->
 <div class="cookie-notice">We use cookies</div><article><h1>Head &amp; line</h1><p>First&nbsp;  par<b>a</b>graph

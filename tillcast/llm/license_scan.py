@@ -1,16 +1,15 @@
-"""License notices by wording and conditional compression.
+"""License notices by conditional compression, confirmed by wording.
 
-The words of a text that speaks of rights are searched for each template: for its exact words, and by windows
-that hold enough of them, across lines and paragraphs. The differences of wording and the size that a template,
-given as a raw zstandard dictionary, saves on that stretch decide whether it is a changed notice or none.
+Around words that speak of rights a text is cut into windows of each template's length, across lines and paragraphs.
+A window is compressed alone and with the template as a raw zstandard dictionary: templates that save enough are
+looked for in it, word by word or with few changes. Of notices that share words the one that saves most counts.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
-from bisect import bisect_left
-from itertools import accumulate
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -45,13 +44,15 @@ TEMPLATES = {
 }
 
 #: A line that has none of these is no candidate.
-CUE = re.compile(r"licen[sc]|copyright|rights reserved|permission|redistribut|public domain|waived|spdx|\bCC[ -]?(?:BY|0)", re.I)
+CUE = re.compile(r"licen[sc]|copyright|rights\s+reserved|permission|redistribut|public\s+domain|waived|spdx|\bCC[ -]?(?:BY|0)", re.I)
 WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 PARAGRAPH = re.compile(r"\n\s*\n")
 
 #: Least size reduction of a changed notice; share of a template's words that may differ in a changed notice.
 LEAST_GAIN = 0.25
 MOST_CHANGED = 0.25
+#: Least size reduction of a window by a template that is then looked for in it; a window is up to ten times as long as a notice.
+NOTICED = 0.02
 
 
 def candidate_blocks(text: str) -> list[str]:
@@ -78,22 +79,46 @@ class LicenseScanner:
 
         self.alone = zstd.ZstdCompressor(level=level)
         self.names = list(templates)
-        self.given = [
-            zstd.ZstdCompressor(level=level, dict_data=zstd.ZstdCompressionDict(t.encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT))
-            for t in templates.values()
-        ]
+        self.given = []
+        for text in templates.values():
+            # both sides as plain words, so that line ends, case and punctuation cost nothing
+            prior = zstd.ZstdCompressionDict(self.plain(WORD.findall(text.lower())), dict_type=zstd.DICT_TYPE_RAWCONTENT)
+            prior.precompute_compress(level=level)
+            self.given.append(zstd.ZstdCompressor(level=level, dict_data=prior))
         self.words = [[w.lower() for w in WORD.findall(t)] for t in templates.values()]
-        self.holders: dict[str, list[int]] = {}
-        for i, words in enumerate(self.words):
-            for w in set(words):
-                self.holders.setdefault(w, []).append(i)
         self.known: dict[tuple[int, str], tuple[int, int, int, int]] = {}
 
-    def gain(self, block: str, template: int) -> float:
-        """Size reduction by the template."""
-        data = block.encode()
+    @staticmethod
+    def plain(words: list[str]) -> bytes:
+        return " ".join(words).encode()
+
+    def gain(self, words: list[str], template: int) -> float:
+        """Size reduction of the words by the template."""
+        data = self.plain(words)
         return 1 - len(self.given[template].compress(data)) / len(self.alone.compress(data))
 
+    def windows(self, own: list[str], cues: list[int]) -> dict[int, list[tuple[int, int]]]:
+        """By template, the windows around cues that it makes smaller.
+
+        A notice holds a cue and is no longer than ``reach``; neighbouring windows overlap by more than that.
+        """
+        by_reach: dict[int, list[tuple[int, int, bytes, int]]] = {}
+        out: dict[int, list[tuple[int, int]]] = {}
+        for i, words in enumerate(self.words):
+            reach = len(words) + int(MOST_CHANGED * len(words))
+            if reach not in by_reach:
+                cut = []
+                for first, last in _stretches(cues, reach, len(own)):
+                    for at in range(first, max(last - 2 * reach, first + 1), 2 * reach):
+                        data = self.plain(own[at:min(at + 4 * reach, last)])
+                        cut.append((at, min(at + 4 * reach, last), data, len(self.alone.compress(data))))
+                by_reach[reach] = cut
+            given = self.given[i]
+            noticed = [(a, b) for a, b, data, alone in by_reach[reach] if len(given.compress(data)) <= (1 - NOTICED) * alone]
+            if noticed:
+                out[i] = noticed
+        return out
+
     def differences(self, own: list[str], template: int) -> tuple[int, int, int, int]:
         """Words of the template that are missing, words between them in addition, and the stretch they take."""
         key = (template, " ".join(own))
@@ -107,60 +132,70 @@ class LicenseScanner:
             self.known[key] = len(wanted) - kept, last - first - kept, first, last
         return self.known[key]
 
-    def _exact(self, own: list[str]) -> list[tuple[int, int, int]]:
-        """(template, first word, the one past the last) wherever a template stands word by word."""
-        joined = f" {' '.join(own)} "
-        starts = list(accumulate((len(w) + 1 for w in own), initial=0))
-        out = []
-        for i, wanted in enumerate(self.words):
-            asked = f" {' '.join(wanted)} "
-            at = joined.find(asked)
-            while at >= 0:
-                first = bisect_left(starts, at)
-                out.append((i, first, first + len(wanted)))
-                at = joined.find(asked, at + 1)
-        return out
+    def _exact(self, own: list[str], noticed: dict[int, list[tuple[int, int]]]) -> list[tuple[int, int, int]]:
+        """(template, first word, the one past the last) wherever a template stands word by word in a window it makes smaller."""
+        out = set()
+        for i, windows in noticed.items():
+            wanted = self.words[i]
+            for a, b in windows:
+                out.update((i, at, at + len(wanted)) for at in range(a, b - len(wanted) + 1) if own[at] == wanted[0] and own[at:at + len(wanted)] == wanted)
+        return sorted(out)
 
     def scan(self, text: str) -> list[tuple[str, float, int, int, str, str]]:
         """License, gain, words missing, words added, exact or changed, and the stretch of text, in text order.
 
-        Of notices that share words the one of nearest wording counts, of those the longest.
+        Of notices that share words the one that saves most bytes counts, of those the one of nearest wording.
         """
         if not CUE.search(text):
             return []
         found = list(WORD.finditer(text))
         own = [m[0].lower() for m in found]
-        places: list[list[int]] = [[] for _ in self.words]
-        for p, w in enumerate(own):
-            for i in self.holders.get(w, ()):
-                places[i].append(p)
-        exact = self._exact(own)
-        passed = [(0.0, -len(self.words[i]), i, first, last, 0, 0) for i, first, last in exact]
-        for i, wanted in enumerate(self.words):
+        begins = [m.start() for m in found]
+        cues = sorted({max(bisect_right(begins, m.start()) - 1, 0) for m in CUE.finditer(text)})
+        noticed = self.windows(own, cues)
+        exact = self._exact(own, noticed)
+        passed = {(i, first, last): (0.0, 0, 0) for i, first, last in exact}
+        for i, windows in noticed.items():
+            wanted = self.words[i]
             most = int(MOST_CHANGED * len(wanted))
             least, width = len(wanted) - most, len(wanted) + most
-            at = places[i]
-            if not most or len(at) < least:
+            if not most:
                 continue
+            known = set(wanted)
             covered = {p for j, first, last in exact if len(self.words[j]) >= len(wanted) for p in range(first, last)}
-            at = [p for p in at if p not in covered]
+            at = sorted({p for a, b in windows for p in range(a, b) if own[p] in known and p not in covered})
             # a changed notice begins where this many words of the template stand within its greatest width
             for k in range(len(at) - least + 1):
                 if at[k + least - 1] - at[k] < width:
                     missing, added, first, last = self.differences(own[at[k]:at[k] + width], i)
                     if 0 < missing + added <= most:
-                        passed.append(((missing + added) / len(wanted), missing - len(wanted), i, at[k] + first, at[k] + last, missing, added))
+                        passed.setdefault((i, at[k] + first, at[k] + last), ((missing + added) / len(wanted), missing, added))
+        ranked = []
+        for (i, first, last), (wrong, missing, added) in passed.items():
+            gain, block = self.gain(own[first:last], i), text[found[first].start():found[last - 1].end()]
+            if not wrong or gain >= LEAST_GAIN and CUE.search(block):
+                saved = gain * len(self.alone.compress(self.plain(own[first:last])))
+                ranked.append((-round(saved), wrong, first - last, i, first, last, missing, added, gain, block))
         out, taken = [], set()
-        for wrong, _, i, first, last, missing, added in sorted(passed):
+        for _, wrong, _, i, first, last, missing, added, gain, block in sorted(ranked):
             if taken.isdisjoint(range(first, last)):
-                block = text[found[first].start():found[last - 1].end()]
-                gain = self.gain(block, i)
-                if not wrong or gain >= LEAST_GAIN and CUE.search(block):
-                    taken.update(range(first, last))
-                    out.append((first, (self.names[i].removesuffix("-line"), gain, missing, added, "changed" if wrong else "exact", block)))
+                taken.update(range(first, last))
+                out.append((first, (self.names[i].removesuffix("-line"), gain, missing, added, "changed" if wrong else "exact", block)))
         return [x for _, x in sorted(out)]
 
 
+def _stretches(cues: list[int], reach: int, n: int) -> list[tuple[int, int]]:
+    """Words within ``reach`` of a cue, as stretches that do not touch."""
+    out: list[tuple[int, int]] = []
+    for c in cues:
+        first, last = max(c - reach, 0), min(c + reach + 1, n)
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], last)
+        else:
+            out.append((first, last))
+    return out
+
+
 def scan_licenses(docs: DataFrame, column: str = "text") -> DataFrame:
     """``docs`` with licenses (sorted, each once), n_blocks (candidates) and notices.
 
