@@ -191,3 +191,50 @@ def test_trimming_keeps_every_blank_rule(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     found = rows.select(trimmed(F.col("t")).alias("a"), F.btrim("t", F.lit(WHITESPACE)).alias("b")).collect()
     assert [r.a for r in found] == [r.b for r in found] == [t and t.strip(WHITESPACE) for t in texts]
+
+
+def test_coercion_of_lines_is_small_enough_to_be_compiled(spark, tmp_path):
+    from tillcast.operators.cleaning import collapse_lines, tag_lines
+    from tillcast.sources.invoices import read_exports
+
+    export(tmp_path, "invoices-a.json", [LINE, LINE])
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        lines = collapse_lines(tag_lines(read_exports(spark, str(tmp_path))))
+        stages = lines._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    assert sizes and max(sizes) < 8000  # bytes of a method, above which the virtual machine only interprets it
+
+
+def test_numbers_keep_their_blank_and_digit_rules(spark):
+    import re
+
+    from tillcast.functions import coercion as C
+
+    cores = ["7", "+7", "-07.50", ".5", "5.", "1e3", "1E-2", "2018.0", "2018.00", "20180", "12.5", "9223372036854775808", "9" * 19, "9" * 20, "1e999",
+             "5d", "inf", "NaN", "", ".", "1 2", "0x1", "1_0", "٣", "e5", "--1"]
+    texts = [None, *(a + c + b for c in cores for a in ("", " ", "　\t") for b in ("", "\n", " \x85 ", "​"))]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = rows.select("t", C.parsed_number(F.col("t")).alias("n"), C.plain_whole(F.col("t")).alias("w"), C.date_part(F.col("t")).alias("p")).collect()
+    for r in found:
+        bare = (r.t or "").strip(C.WHITESPACE)
+        number = re.fullmatch(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?", bare)
+        assert r.n == (float(bare) if number else None), r
+        digits = re.fullmatch(r"[+-]?[0-9]{1,19}", bare)
+        assert r.w == (int(bare) if digits and abs(int(bare)) < 1 << 63 else None), r
+        part = re.fullmatch(r"([0-9]{1,4})(?:\.0*)?", bare)
+        assert r.p == (int(part[1]) if part else None), r
+
+
+def test_end_of_the_first_list_is_found_in_flat_and_nested_texts(spark):
+    from tillcast.sources.invoices import ends_with_first_value
+
+    texts = {
+        "[]": True, "[{},{}]": True, "[{}][{}]": False, "[{}]]": False, "[{}{}]": True, '[{"a":"]\\"["}]': True, "[[1],{}]": True, "[{}": False,
+        "[[]][]": False, "": False, '["]': True, '[{"a":{"b":[1,2]}},3]': True, "[}]": False, '[1,"a"],"': True, "{}": True, None: None,
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.e for r in rows.select("t", ends_with_first_value(F.col("t")).alias("e")).collect()} == texts
